@@ -20,7 +20,7 @@ from scrubwell.functions.predicates import (
     is_phone_like,
     is_possible_other,
 )
-from scrubwell.functions.text import literal_replacement, matches, replace_matches
+from scrubwell.functions.text import let, literal_replacement, matches, replace_matches
 
 
 @dataclass(frozen=True)
@@ -49,15 +49,15 @@ class Rule:
         return passes & self.accept(first) if self.accept is not None else passes
 
     def accepted(self, candidates: Column) -> Column:
-        """The matches that will be replaced, in order, with their ordinal."""
-        numbered = F.transform(
-            candidates, lambda hit, pos: F.struct(hit.alias("original"), pos.alias("pos"))
-        )
+        """The matches that will be replaced, numbered from the left."""
+        taken = candidates
         if self.gate == "reference":
-            return F.when(self._first_passes(candidates), numbered)
-        if self.accept is None:
-            return numbered
-        return F.filter(numbered, lambda hit: self.accept(hit["original"]))
+            taken = F.when(self._first_passes(candidates), candidates)
+        elif self.accept is not None:
+            taken = F.filter(candidates, self.accept)
+        return F.transform(
+            taken, lambda hit, pos: F.struct(hit.alias("original"), pos.alias("pos"))
+        )
 
     def replacement(self, hit: Column) -> Column:
         if self.key:
@@ -70,20 +70,26 @@ class Rule:
         return F.when(self.accept(hit), self.replacement(hit)).otherwise(hit)
 
     def apply(self, text: Column, candidates: Column | None = None) -> Column:
-        """The text with every accepted match replaced."""
-        per_match = self.gate == "none" and self.accept is not None
-        if self.key or per_match:
+        """The text with every accepted match replaced.
+
+        ``candidates`` takes the matches where they are already a column; they
+        are looked up once per text otherwise.
+        """
+        decides = self.accept is not None and self.gate == "none"
+        if candidates is None:
+            if not self.key and not decides and self.gate == "none":
+                return F.regexp_replace(text, self.pattern, literal_replacement(self.token))
+            return let(
+                text, lambda once: let(self.candidates(once), lambda hits: self.apply(once, hits))
+            )
+        if self.key or decides:
             redacted = replace_matches(text, self.pattern, self._changed, candidates)
         else:
             redacted = F.regexp_replace(text, self.pattern, literal_replacement(self.token))
-        found = candidates if candidates is not None else self.candidates(text)
+        chosen = F.size(candidates) > 0
         if self.gate == "reference":
-            return F.when(self._first_passes(found), redacted).otherwise(text)
-        if candidates is not None:
-            return F.when(F.size(found) > 0, redacted).otherwise(text)
-        if self.key or per_match:
-            return F.when(text.rlike(self.pattern), redacted).otherwise(text)
-        return redacted
+            chosen = chosen & self._first_passes(candidates)
+        return F.when(chosen, redacted).otherwise(text)
 
 
 def profanity_pattern(words: tuple[str, ...] = rules.PROFANITY) -> str | None:

@@ -1,7 +1,5 @@
 """Repeated words and sentences inside one text."""
 
-from __future__ import annotations
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,45 +18,44 @@ def drop_adjacent(items: Column) -> Column:
     )
 
 
-def thin_out(items: list[str], min_gap: int) -> list[str]:
-    """Delete repeats closer than ``min_gap`` to the previous same item.
+def _thinner(min_gap: int):
+    """The Arrow function for gaps above two.
 
-    One item value is treated at a time, in order of first appearance: gaps are
-    measured between its occurrences as they stand, including those about to go.
-    Removal shifts all later positions, so the search starts over.
-    """
-    items = list(items)
-    settled = False
-    while not settled:
-        settled = True
-        places: dict[str, list[int]] = {}
-        for place, item in enumerate(items):
-            places.setdefault(item, []).append(place)
-        for spots in places.values():
-            doomed = {b for a, b in zip(spots, spots[1:]) if b - a < min_gap}
-            if doomed:
-                items = [item for place, item in enumerate(items) if place not in doomed]
-                settled = False
-                break
-    return items
-
-
-def drop_close(items: Column, min_gap: int) -> Column:
-    """General form of :func:`drop_adjacent` for gaps above two.
-
-    A deletion changes the gaps of all that follows, which array expressions
-    cannot state; an Arrow function works on the word lists.
+    Its helpers live inside it, so it reaches the workers whole.
     """
-    if min_gap <= 1:
+
+    def thin_out(items: list[str]) -> list[str]:
+        # One value at a time, in order of first appearance.  Gaps run between
+        # its places as they stand, those about to go included; what follows
+        # moves up, so the search starts over.
+        items = list(items)
+        settled = False
+        while not settled:
+            settled = True
+            places: dict[str, list[int]] = {}
+            for place, item in enumerate(items):
+                places.setdefault(item, []).append(place)
+            for spots in places.values():
+                doomed = {b for a, b in zip(spots, spots[1:]) if b - a < min_gap}
+                if doomed:
+                    items = [item for place, item in enumerate(items) if place not in doomed]
+                    settled = False
+                    break
         return items
-    if min_gap == 2:
-        return drop_adjacent(items)
 
-    @F.pandas_udf("array<string>")
+    def thin_sentences(found):
+        if found is None:
+            return None
+        kept = []
+        for sentence in thin_out(found):
+            body = sentence[:-1] if sentence[-1] in ".?!" else sentence
+            kept.append(" ".join(thin_out(body.split(" "))) + sentence[len(body) :])
+        return kept
+
     def thin(lists: pd.Series) -> pd.Series:
-        return lists.map(lambda words: None if words is None else thin_out(words, min_gap))
+        return lists.map(thin_sentences)
 
-    return thin(items)
+    return F.pandas_udf(thin, "array<string>")
 
 
 def split_sentences(text: Column) -> Column:
@@ -85,14 +82,6 @@ def dedupe_words(text: Column) -> Column:
     return F.when(has_code(text), text).otherwise(F.array_join(cleaned, " "))
 
 
-def _thin_sentences(found: list[str], min_gap: int) -> list[str]:
-    kept = []
-    for sentence in thin_out(found, min_gap):
-        body = sentence[:-1] if sentence[-1] in ".?!" else sentence
-        kept.append(" ".join(thin_out(body.split(" "), min_gap)) + sentence[len(body) :])
-    return kept
-
-
 def drop_repeats(text: Column, min_gap: int = 2) -> Column:
     """Repeated sentences, then repeated words, closer than ``min_gap`` go.
 
@@ -107,9 +96,5 @@ def drop_repeats(text: Column, min_gap: int = 2) -> Column:
         cleaned = F.array_join(F.transform(kept, _without_repeated_words), " ")
         return F.when(has_code(text), text).otherwise(cleaned)
 
-    @F.pandas_udf("array<string>")
-    def thin(lists: pd.Series) -> pd.Series:
-        return lists.map(lambda found: None if found is None else _thin_sentences(found, min_gap))
-
     plain = F.when(~has_code(text), split_sentences(text))
-    return F.when(has_code(text), text).otherwise(F.array_join(thin(plain), " "))
+    return F.when(has_code(text), text).otherwise(F.array_join(_thinner(min_gap)(plain), " "))

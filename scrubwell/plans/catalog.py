@@ -756,18 +756,59 @@ def _bytes_sql(word: str) -> str:
     return f"translate({word}, {sql.lit(_ACCENTS)}, {sql.lit(_MARKS[: len(_ACCENTS)])})"
 
 
+def _deletions_sql(source: str, column: str, name: str) -> str:
+    """Every word with up to two characters left out, wherever they stand."""
+
+    def shorter(table_: str) -> str:
+        return (
+            "SELECT w, left(key, i - 1) || substr(key, i + 1) AS key FROM (SELECT w, key, "
+            f"unnest(range(1, length(key) + 1)) AS i FROM {table_})"
+        )
+
+    return (
+        f"{name}0 AS (SELECT {column} AS w, {column} AS key FROM {source}), "
+        f"{name}1 AS MATERIALIZED (SELECT * FROM {name}0 UNION {shorter(name + '0')}), "
+        f"{name}2 AS MATERIALIZED (SELECT * FROM {name}1 UNION {shorter(name + '1')})"
+    )
+
+
+# DuckDB may change what stands between two exchanged letters, which one
+# alignment step cannot; such pairs are put to the stricter test.
+def _swap_and_step_sql() -> str:
+    swapped = "substr(word, i + 1, 1) || substr(word, i, 1)"
+    front = f"left(word, i - 1) || {swapped}"
+    back = f"{swapped} || substr(word, i + 2)"
+
+    def one_step(left: str, right: str) -> str:
+        return f"damerau_levenshtein({_bytes_sql(left)}, {_bytes_sql(right)}) <= 1"
+
+    behind = one_step("substr(word, i + 2)", "substr(term, i + 2)")
+    before = one_step("left(word, i - 1)", "left(term, length(term) - length(word) + i - 1)")
+    return (
+        "len(list_filter(range(1, length(word)), lambda i: "
+        f"(starts_with(term, {front}) AND {behind}) OR "
+        f"(ends_with(term, {back}) AND length(term) >= length(word) - i + 1 AND {before}))) > 0"
+    )
+
+
+_SWAP_AND_STEP_SQL = _swap_and_step_sql()
 _SUGGEST_SQL = f"""{_VOCABULARY_SQL},
     parts AS MATERIALIZED (SELECT doc_id, regexp_extract_all({_PLAIN_SQL}, {sql.lit(_GUARDED_RE2)}) AS p
                            FROM documents),
     unknown AS MATERIALIZED (SELECT DISTINCT piece AS word FROM (SELECT unnest(p) AS piece FROM parts)
         WHERE regexp_matches(piece, {sql.lit(_LOWER_RE2)})
           AND piece NOT IN (SELECT term FROM voc)),
-    pairs AS (SELECT word, term, freq,
-                     damerau_levenshtein({_bytes_sql('word')}, {_bytes_sql('term')}) AS distance
-              FROM unknown JOIN voc ON length(term) BETWEEN length(word) - 2 AND length(word) + 2),
+    {_deletions_sql('unknown', 'word', 'u')},
+    {_deletions_sql('voc', 'term', 'v')},
+    pairs AS MATERIALIZED (SELECT word, term,
+                     damerau_levenshtein({_bytes_sql('word')}, {_bytes_sql('term')}) AS steps,
+                     levenshtein({_bytes_sql('word')}, {_bytes_sql('term')}) AS plain
+              FROM (SELECT DISTINCT u2.w AS word, v2.w AS term FROM u2 JOIN v2 USING (key))),
+    near AS (SELECT word, term, freq, steps AS distance FROM pairs JOIN voc USING (term)
+             WHERE steps <= 2 AND (plain <= 2 OR steps < 2 OR {_SWAP_AND_STEP_SQL})),
     sug AS MATERIALIZED (SELECT word, b.term AS term, CAST(b.distance AS INTEGER) AS distance FROM (
         SELECT word, min({{'distance': distance, 'rank': -freq, 'term': term}}) AS b
-        FROM pairs WHERE distance <= 2 GROUP BY word))"""
+        FROM near GROUP BY word))"""
 
 
 def _vocabulary(spark: SparkSession, folder: str) -> DataFrame:
@@ -846,10 +887,14 @@ _PIECE_SPANS_SQL = f"""
                        FROM ({_NAMED_SQL})),
     gaz AS MATERIALIZED (SELECT term, label, len(regexp_extract_all(term, {sql.lit(_PIECES_RE2)})) AS k
                          FROM ({_GAZETTEER_SQL})),
-    at AS MATERIALIZED (SELECT doc_id, p, i, k FROM (SELECT doc_id, p, unnest(range(1, len(p) + 1)) AS i FROM d)
-                        CROSS JOIN (SELECT DISTINCT k FROM gaz) WHERE i + k - 1 <= len(p)),
-    hit AS MATERIALIZED (SELECT doc_id, i, at.k, term, label FROM at JOIN gaz
-            ON at.k = gaz.k AND term = array_to_string(p[i:i + at.k - 1], '')),
+    place AS MATERIALIZED (SELECT doc_id, i, piece AS w1, piece || lead(piece, 1) OVER o AS w2,
+               piece || lead(piece, 1) OVER o || lead(piece, 2) OVER o AS w3
+               FROM (SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS i FROM d)
+               WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+    hit AS MATERIALIZED (
+        SELECT doc_id, i, k, term, label FROM place JOIN gaz ON w1 = term AND k = 1 UNION ALL
+        SELECT doc_id, i, k, term, label FROM place JOIN gaz ON w2 = term AND k = 2 UNION ALL
+        SELECT doc_id, i, k, term, label FROM place JOIN gaz ON w3 = term AND k = 3),
     span AS MATERIALIZED (SELECT * FROM hit h WHERE NOT EXISTS (SELECT 1 FROM hit o
             WHERE o.doc_id = h.doc_id AND (o.i < h.i AND o.i + o.k > h.i OR o.i = h.i AND o.k > h.k)))"""
 
@@ -1068,7 +1113,7 @@ def stream_clean_batches(spark: SparkSession, folder: str) -> DataFrame:
 def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     out, state = scratch_path(spark, "distinct"), scratch_path(spark, "distinct-state")
     stream = _streamed_documents(spark, folder, "text").withColumn(
-        "arrived", F.timestamp_seconds(F.col("doc_id"))
+        "arrived", F.timestamp_seconds(F.col("doc_id") + 1_700_000_000)
     )
     distinct = jobs.dedupe_stream(stream, "arrived", "3650 days")
     jobs.write_stream(distinct, out, state).awaitTermination()
@@ -1083,14 +1128,15 @@ _EVENT_TEXT = (
 
 @register(
     "stream_report",
-    "SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR "
-    "AS window_end, unnest(['IPV4', 'EMAIL']) AS tag, count(*) AS changes FROM events "
-    "GROUP BY ALL HAVING window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)",
+    "SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, tag, changes FROM ("
+    "SELECT date_trunc('hour', ts) AS window_start, tag, count(*) AS changes "
+    "FROM events CROSS JOIN (VALUES ('IPV4'), ('EMAIL')) AS v(tag) GROUP BY 1, 2) "
+    "WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)",
 )
 def stream_report(spark: SparkSession, folder: str) -> DataFrame:
     """Hourly counts; the last windows wait for the watermark to pass them."""
     rows = corpus.read_table(spark, folder, "events").select(
-        F.col("event_id").alias("doc_id"), F.expr(_EVENT_TEXT).alias("text"), "ts"
+        F.col("event_id").alias("doc_id"), F.expr(_EVENT_TEXT).alias("text"), F.col("ts").cast("timestamp")
     )
     incoming = scratch_path(spark, "events")
     rows.write.parquet(incoming)
@@ -1099,4 +1145,10 @@ def stream_report(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = Cleaner(REDACTION_ONLY).transform(stream)
     jobs.write_stream(jobs.report_stream(cleaned, "ts"), out, state).awaitTermination()
     schema = "window_start timestamp, window_end timestamp, tag string, changes bigint"
-    return spark.read.schema(schema).parquet(out)
+    hours = spark.read.schema(schema).parquet(out)
+    return hours.select(
+        F.col("window_start").cast("timestamp_ntz"),
+        F.col("window_end").cast("timestamp_ntz"),
+        "tag",
+        "changes",
+    )

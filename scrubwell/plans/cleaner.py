@@ -17,7 +17,7 @@ from scrubwell import rules
 from scrubwell.functions import lengths, normalize, redact, repeats
 from scrubwell.operators import dedupe, entities, findings, language, spelling
 from scrubwell.plans.config import CleanConfig
-from scrubwell.session import stage
+from scrubwell.session import settle, stage
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -96,14 +96,18 @@ class Cleaner:
             F.lit(0).alias("pos"),
         )
         changed = ~old.eqNullSafe(new)
-        return df.withColumns(
-            {
-                "findings": F.when(changed, F.concat("findings", F.array(found))).otherwise(
-                    F.col("findings")
-                ),
-                self.text: new,
-            }
-        ).drop("_new")
+        logged = F.when(changed, F.concat("findings", F.array(found))).otherwise(F.col("findings"))
+        return self._replace(df, {"findings": logged, self.text: new}, drop="_new")
+
+    @staticmethod
+    def _replace(df: DataFrame, changed: dict[str, Column], drop: str) -> DataFrame:
+        return df.select(
+            *[
+                changed[name].alias(name) if name in changed else F.col(name)
+                for name in df.columns
+                if name != drop
+            ]
+        )
 
     def _redaction(self, name: str, rule_list: list[redact.Rule]) -> Step:
         """A step made of rules; one finding per replaced match."""
@@ -123,10 +127,10 @@ class Cleaner:
             more = F.when(
                 F.size(hits) > 0, F.concat("findings", F.coalesce(found, findings.no_findings()))
             ).otherwise(F.col("findings"))
-            return (
-                df.withColumn("_hits", rule.candidates(F.col(self.text)))
-                .withColumns({"findings": more, self.text: rule.apply(F.col(self.text), hits)})
-                .drop("_hits")
+            return self._replace(
+                df.select("*", rule.candidates(F.col(self.text)).alias("_hits")),
+                {"findings": more, self.text: rule.apply(F.col(self.text), hits)},
+                drop="_hits",
             )
 
         return lambda df: reduce(apply, rule_list, df)
@@ -265,14 +269,14 @@ class Cleaner:
         shuffle is computed twice.
         """
         df = df.withColumn("findings", findings.no_findings())
-        joined = False
+        computed, joined = [self.text, "findings"], False
         for name, step in self.steps():
             joins = name in ("translate_lang", "remove_lang", "spell_check", "replace_entities")
-            if joins and joined:
-                df = stage(df, f"before-{name}")
+            if joins:
+                df = stage(df, f"before-{name}") if joined else settle(df, computed)
             df = step(df)
             joined = joined or joins
-        return df
+        return settle(df, computed)
 
     def clean(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         """``cleaned`` and ``findings``, two tables from one pass over the texts.

@@ -333,8 +333,7 @@ def findings(base: str, final: str) -> str:
         token = lit(rules.TOKENS[tag])
         if tag == "PHONE":
             cell = "'<' || chr(3) || c.cand || chr(3) || '>'"
-            marked = phone(decide=f"CASE WHEN {is_phone('c.cand')} THEN {cell} ELSE {cell} END")
-            # Every candidate is marked, so that its ordinal counts all of them.
+            marked = phone(decide=cell)
             hits = "regexp_extract_all(text, '<\\x03([^\\x03]+)\\x03>', 1)"
             source = f"({marked(f't{number}')})"
             test = is_phone("h")
@@ -348,7 +347,8 @@ def findings(base: str, final: str) -> str:
             test = {"CC": luhn_valid("h"), "IPV6": IS_IPV6}.get(tag, "true")
         parts.append(
             f"SELECT doc_id, source, '{step}' AS step, '{tag}' AS tag, h AS original, "
-            f"{token} AS replacement, CAST(p - 1 AS INTEGER) AS pos FROM (SELECT doc_id, source, "
+            f"{token} AS replacement, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY p) - 1 "
+            f"AS INTEGER) AS pos FROM (SELECT doc_id, source, "
             f"unnest(hits) AS h, generate_subscripts(hits, 1) AS p FROM (SELECT doc_id, source, "
             f"{hits} AS hits FROM {source})) WHERE {test}"
         )

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Tables below this size may be broadcast.  Spark compares it with the size of
 # the files a table was written to, so the side that is sent out is measured.
@@ -60,3 +61,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def settle(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Make ``columns`` plain outputs that later filters refer to by name.
+
+    The optimizer moves a filter below a projection by copying the projected
+    expressions into it; through a long list of text steps the copies multiply
+    at every step.  Filters on what a generator puts out stay above it.
+    """
+    rest = [name for name in df.columns if name not in columns]
+    settled = df.select(*rest, F.inline(F.array(F.struct(*columns))))
+    return settled.select(*df.columns)

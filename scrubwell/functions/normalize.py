@@ -7,12 +7,13 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scrubwell import rules
 from scrubwell.functions.text import has_code, literal_replacement, matches, replace_matches, strip
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda text: unicodedata.normalize("NFC", text), na_action="ignore")
 

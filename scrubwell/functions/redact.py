@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,6 +29,9 @@ from scrubwell.functions.text import let, literal_replacement, matches, replace_
 class Rule:
     """A pattern, an optional test on each match, and the replacement.
 
+    ``needs`` lists literals of which every match holds at least one; texts
+    without them are passed over by a plain byte search.
+
     ``gate="reference"`` reproduces the all-or-nothing behaviour of the cleaner
     this package stands in for: a text is redacted only if its *first* match
     cannot be read as a phone number, an amount or a date, and then all its
@@ -39,9 +44,14 @@ class Rule:
     accept: Callable[[Column], Column] | None = None
     key: str | None = None
     gate: str = "none"
+    needs: tuple[str, ...] = ()
 
     def candidates(self, text: Column) -> Column:
-        return matches(text, self.pattern)
+        """All matches; NULL or empty where there are none."""
+        found = matches(text, self.pattern)
+        if not self.needs:
+            return found
+        return F.when(reduce(or_, [text.contains(literal) for literal in self.needs]), found)
 
     def _first_passes(self, candidates: Column) -> Column:
         first = F.get(candidates, F.lit(0))
@@ -100,8 +110,36 @@ def profanity_pattern(words: tuple[str, ...] = rules.PROFANITY) -> str | None:
     return r"(?Ui)\b(?:" + "|".join(re.escape(word) for word in listed) + r")\b"
 
 
+# --- fixed values: what every match of a pattern holds ---------------------
+_NEEDS = {
+    rules.EMAIL: ("@",),
+    rules.UUID: ("-",),
+    rules.MAC: (":", "-"),
+    rules.SSN: ("-",),
+    rules.TIMESTAMP_ISO: (":",),
+    rules.TIME_SIMPLE: (":",),
+    rules.PATH_WINDOWS: (":\\",),
+    rules.PATH_UNIX: ("/",),
+    rules.HTML_TAG: ("<",),
+    rules.CODE_FENCE: ("```",),
+    rules.CODE_INLINE: ("`",),
+}
+
+
 def _rule(tag, pattern, token, accept=None, key=None, gate="none"):
-    return Rule(tag, pattern, token, accept, key, gate)
+    return Rule(tag, pattern, token, accept, key, gate, _NEEDS.get(pattern, ()))
+
+
+def html(tokens=rules.TOKENS) -> list[Rule]:
+    return [_rule("HTML", rules.HTML_TAG, tokens["HTML"])]
+
+
+def code(tokens=rules.TOKENS) -> list[Rule]:
+    """Fenced blocks, then inline spans."""
+    return [
+        _rule("CODE", rules.CODE_FENCE, tokens["CODE"]),
+        _rule("CODE", rules.CODE_INLINE, tokens["CODE"]),
+    ]
 
 
 def profanity(words=rules.PROFANITY, tokens=rules.TOKENS, key=None) -> list[Rule]:

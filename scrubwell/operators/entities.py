@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from scrubwell import rules
 from scrubwell.functions.hashing import pseudonym
-from scrubwell.functions.text import let, pieces, splice
+from scrubwell.functions.text import let, pieces, splice, strip
 from scrubwell.session import stage
 
 # --- fixed values: the kinds of name that are redacted ---------------------
@@ -16,7 +16,8 @@ LABELS = ("PERSON", "NORP", "ORG", "GPE", "LOC")
 
 def prepare_gazetteer(gazetteer: DataFrame, labels: tuple[str, ...] = LABELS) -> DataFrame:
     """``term, label, parts``, one row per name, as a written table."""
-    named = gazetteer.filter(F.col("label").isin(*labels) & (F.col("term") != ""))
+    trimmed = gazetteer.withColumn("term", strip(F.col("term")))
+    named = trimmed.filter(F.col("label").isin(*labels) & (F.col("term") != ""))
     return stage(
         named.groupBy("term")
         .agg(F.min("label").alias("label"))
@@ -30,14 +31,22 @@ def find_entities(
 ) -> DataFrame:
     """``keys, spans``: non-overlapping names of each text, longest first from the left.
 
-    Every run of pieces as long as some listed name is looked up by equality.
-    The lengths in use are few and are read from the name table.
+    Every run of pieces as long as some listed name is looked up by equality;
+    names do not begin with whitespace, so runs do not either.  The lengths in
+    use are few and are read from the name table.
     """
     keys = [key] if isinstance(key, str) else list(key)
     lengths = sorted(row.parts for row in names.select("parts").distinct().collect())
 
     def runs(parts: Column) -> Column:
-        starts = F.when(F.size(parts) > 0, F.sequence(F.lit(0), F.size(parts) - 1))
+        places = F.when(F.size(parts) > 0, F.sequence(F.lit(0), F.size(parts) - 1))
+        starts = F.filter(places, lambda at: ~F.get(parts, at).isin(" ", "\n"))
+
+        def run(at: Column, length: int) -> Column:
+            if length == 1:
+                return F.get(parts, at)
+            return F.array_join(F.slice(parts, at + 1, F.lit(length)), "")
+
         found = F.transform(
             starts,
             lambda at: F.array(
@@ -45,7 +54,7 @@ def find_entities(
                     F.struct(
                         at.alias("pos"),
                         F.lit(length).alias("parts"),
-                        F.array_join(F.slice(parts, at + 1, F.lit(length)), "").alias("term"),
+                        run(at, length).alias("term"),
                     )
                     for length in lengths
                 ]

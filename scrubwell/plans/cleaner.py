@@ -183,11 +183,6 @@ class Cleaner:
     def steps(self) -> list[tuple[str, Step]]:
         """Name and function of every step that will run, in order."""
         cfg, tokens, key, gate = self.config, self.tokens, self.hmac_key, self.gate
-        html = [redact.Rule("HTML", rules.HTML_TAG, tokens["HTML"])]
-        code = [
-            redact.Rule("CODE", rules.CODE_FENCE, tokens["CODE"]),
-            redact.Rule("CODE", rules.CODE_INLINE, tokens["CODE"]),
-        ]
         pii = redact.url(tokens, key) + redact.email(tokens, key)
         if cfg.anonymize_currency:
             pii += redact.candidate_currency(key)
@@ -196,7 +191,7 @@ class Cleaner:
             "normalize_unicode": self._rewrite("normalize_unicode", "NFC", normalize.normalize_nfc),
             "translate_lang": self._route if self.language_model else None,
             "remove_lang": self._blank if self.language_model else None,
-            "remove_html_tags": self._redaction("remove_html_tags", html),
+            "remove_html_tags": self._redaction("remove_html_tags", redact.html(tokens)),
             "collapse_whitespace": self._rewrite(
                 "collapse_whitespace", "MULTISPACE", normalize.collapse_space, rules.SPACES
             ),
@@ -215,7 +210,7 @@ class Cleaner:
             "remove_lead_trail": self._rewrite(
                 "remove_lead_trail", "STRIP_LEAD_TRAIL", normalize.trim_text
             ),
-            "remove_code": self._redaction("remove_code", code),
+            "remove_code": self._redaction("remove_code", redact.code(tokens)),
             "fix_mojibake": self._rewrite("fix_mojibake", "MOJI_FIX", normalize.repair_mojibake),
             "spell_check": self._spell if self.vocabulary is not None else None,
             "replace_entities": self._names if self.gazetteer is not None else None,

@@ -93,14 +93,19 @@ def _nearest(unknown: DataFrame, vocabulary: DataFrame, limit: int) -> DataFrame
     """The best term within ``limit`` steps of each word that has one.
 
     Comparing words is the costly part, so the words are dealt to a fixed
-    number of tasks by hash instead of letting small partitions be merged.
+    number of tasks by hash instead of letting small partitions be merged.  The
+    keys of the vocabulary are written first: the planner would guess the size
+    of an exploded table from the size before, and broadcast too much.
     """
     tasks = int(unknown.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    terms = vocabulary.select(
-        "term",
-        "freq",
-        letters_sorted(F.col("term")).alias("term_letters"),
-        F.explode(deletion_keys(F.col("term"), limit)).alias("key"),
+    terms = stage(
+        vocabulary.select(
+            "term",
+            "freq",
+            letters_sorted(F.col("term")).alias("term_letters"),
+            F.explode(deletion_keys(F.col("term"), limit)).alias("key"),
+        ),
+        f"term-keys-{limit}",
     )
     words = unknown.repartition(tasks, "word").select(
         "word",

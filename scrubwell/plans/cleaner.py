@@ -259,16 +259,20 @@ class Cleaner:
     def transform(self, df: DataFrame) -> DataFrame:
         """``df`` with its text cleaned and a ``findings`` array added.
 
-        The steps that join read their input twice.  Where that input already
-        went through a join, it is written to the shared folder first, so no
-        shuffle is computed twice.
+        The steps that join read their input more than once.  Spelling and
+        names come late in the list, and whatever follows a join is costly too,
+        so there the texts are written to the shared folder and read from it.
         """
         df = df.withColumn("findings", findings.no_findings())
         computed, joined = [self.text, "findings"], False
         for name, step in self.steps():
-            joins = name in ("translate_lang", "remove_lang", "spell_check", "replace_entities")
-            if joins:
-                df = stage(df, f"before-{name}") if joined else settle(df, computed)
+            joins = name in ("translate_lang", "spell_check", "replace_entities") or (
+                name == "remove_lang" and "needs_translation" not in df.columns
+            )
+            if joins and (joined or name in ("spell_check", "replace_entities")):
+                df = stage(df, f"before-{name}")
+            elif joins:
+                df = settle(df, computed)
             df = step(df)
             joined = joined or joins
         return settle(df, computed)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 # Tables below this size may be broadcast.  Spark compares it with the size of
 # the files a table was written to, so the side that is sent out is measured.
-BROADCAST_LIMIT = 64 * 1024 * 1024
+BROADCAST_LIMIT = 32 * 1024 * 1024
 
 
 def local_session(cpus: str | int = "*", app: str = "scrubwell") -> SparkSession:

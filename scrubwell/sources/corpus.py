@@ -95,8 +95,13 @@ def write_report(
     format: str = "json",
     mode: str = "errorifexists",
 ) -> None:
-    """Report rows, one folder per run date and, if named, per source."""
+    """Report rows, one folder per run date and, if named, per source.
+
+    Rows are brought together by source so that not every task writes a file
+    for every source; rebalancing splits a source that is too large for a task.
+    """
     parts = ["run_date"] + ([source] if source else [])
+    df = df.hint("rebalance", source) if source else df
     _dated(df).write.mode(mode).partitionBy(*parts).format(format).save(path)
 
 

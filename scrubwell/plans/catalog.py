@@ -162,7 +162,7 @@ def _write_lines(df: DataFrame, name: str, **options: str) -> str:
 @register(
     "scan_corpus",
     "SELECT doc_id, text, CAST(NULL AS VARCHAR) AS corrupt FROM documents UNION ALL "
-    "SELECT NULL, NULL, concat('{\"doc_id\": ', doc_id, ', \"text\": ') FROM documents",
+    "SELECT -1, NULL, concat('{\"doc_id\": ', doc_id, ', \"text\": ') FROM documents",
 )
 def scan_corpus(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
@@ -171,7 +171,9 @@ def scan_corpus(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "lines")
     good.unionAll(cut_off).write.text(path)
     return corpus.read_jsonl(spark, path, _LINE_SCHEMA).select(
-        "doc_id", "text", F.col(corpus.CORRUPT).alias("corrupt")
+        F.coalesce("doc_id", F.lit(-1)).alias("doc_id"),
+        "text",
+        F.col(corpus.CORRUPT).alias("corrupt"),
     )
 
 

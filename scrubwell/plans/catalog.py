@@ -1091,7 +1091,7 @@ def dedupe_report(spark: SparkSession, folder: str) -> DataFrame:
 
 def _streamed_documents(spark: SparkSession, folder: str, spike: str) -> DataFrame:
     lines = _write_lines(documents(spark, folder, spike), "incoming")
-    return jobs.read_stream(spark, lines, files_per_batch=2)
+    return jobs.read_stream(spark, lines, files_per_batch=4)
 
 
 @register("stream_clean", sql.redact_all(documents_sql(EVERYTHING)))
@@ -1137,7 +1137,7 @@ _EVENT_TEXT = (
 )
 def stream_report(spark: SparkSession, folder: str) -> DataFrame:
     """Hourly counts; the last windows wait for the watermark to pass them."""
-    rows = corpus.read_table(spark, folder, "events").select(
+    rows = table(spark, folder, "events").select(
         F.col("event_id").alias("doc_id"), F.expr(_EVENT_TEXT).alias("text"), F.col("ts").cast("timestamp")
     )
     incoming = scratch_path(spark, "events")

@@ -41,7 +41,7 @@ LANGUAGES = ("de", "en", "es", "fr")
 
 # --- fixed values: patterns -----------------------------------------------
 EMAIL = r"(?Ui)(?<![/\w.\-])[a-z0-9._%+\-]++@[a-z0-9.\-]+\.[a-z]{2,}"
-URL = r"(?Ui)(?:(?:https?|ftp)://|www\.)[^\s<>\"]++"
+URL = r"(?Ui)(?=[fhw])(?:(?:https?|ftp)://|www\.)[^\s<>\"]++"
 IPV4 = r"(?U)\b(?:\d{1,3}\.){3}\d{1,3}\b"
 IPV6 = r"(?U)\b[0-9a-fA-F:]{2,45}\b"
 UUID = (

@@ -12,7 +12,7 @@ from __future__ import annotations
 import base64
 import heapq
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
@@ -27,7 +27,8 @@ CUT_BY_CLASS = (
 )
 SUFFIXES = ("s", "t", "re", "ve", "m", "ll", "d")
 LETTER, NUMBER, OTHER, SPACE, END = range(5)
-BLOCK_CHARS = 1 << 21  # texts are cut to words in blocks of this length
+BLOCK_CHARS = 1 << 19  # texts are cut to words in blocks of this length
+GROUP_CHARS = 6 << 20  # the words of this much text are merged at once
 NONE = np.iinfo(np.int32).max
 
 
@@ -180,7 +181,7 @@ class Chain:
         places, levels = places[live], levels[live]
         if not len(places):
             return
-        order = np.argsort(levels, kind="stable")
+        order = np.argsort(levels)
         places, levels = places[order], levels[order]
         cuts = np.flatnonzero(levels[1:] != levels[:-1]) + 1
         bounds = [0, *cuts.tolist(), len(levels)]
@@ -212,12 +213,13 @@ class Chain:
         new_left = np.where(left >= 0, new_left, -1)
         self.chosen[middle] = False
         ids = np.full(len(places), rank, np.int32)
-        return self.merges.rank(new_left, ids), self.merges.rank(ids, new_right)
+        levels = self.merges.rank(np.concatenate((new_left, ids)), np.concatenate((ids, new_right)))
+        return levels[: len(places)], levels[len(places) :]
 
     def merge_next(self) -> None:
         rank = heapq.heappop(self.heap)
         held = self.index.pop(rank)
-        places = held[0] if len(held) == 1 else np.unique(np.concatenate(held))
+        places = np.unique(held[0] if len(held) == 1 else np.concatenate(held))
         places = places[self.level[places] == rank]
         if not len(places):
             return
@@ -243,19 +245,20 @@ class Chain:
         self.before[right] = places
         left = self.before[places]
         touched = left >= 0
-        self._enter(left[touched], to_left[touched])
-        self._enter(places, to_right)
+        self._enter(
+            np.concatenate((left[touched], places)), np.concatenate((to_left[touched], to_right))
+        )
 
 
 # --- texts -------------------------------------------------------------------------
-def _text_blocks(texts: list[str]) -> Iterator[list[str]]:
+def _blocks(texts: Iterable[str], length: int) -> Iterator[list[str]]:
     """Texts in order, gathered to blocks of bounded length; a longer text is a block."""
     block: list[str] = []
     held = 0
     for text in texts:
         block.append(text)
         held += len(text)
-        if held >= BLOCK_CHARS:
+        if held >= length:
             yield block
             block, held = [], 0
     if block:
@@ -287,7 +290,7 @@ def _binary(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
 
 def encode(texts: list[str], merges: Merges, pattern: str) -> Iterator[tuple[pa.Array, pa.Array]]:
     """Packed ids and decoded bytes of texts, block by block in order."""
-    cuts = [_cut(block, pattern) for block in _text_blocks(texts)]
+    cuts = [_cut(block, pattern) for block in _blocks(texts, BLOCK_CHARS)]
     if not cuts:
         return
     words = pa.chunked_array([words for words, _ in cuts]).unify_dictionaries().chunks
@@ -327,11 +330,11 @@ def tokenise(
         merges = Merges(shared.value)
         for batch in batches:
             at = 0
-            texts = [text or "" for text in batch.column(1).to_pylist()]
-            for ids, decoded in encode(texts, merges, pattern):
-                keys = batch.column(0).slice(at, len(ids))
-                yield pa.RecordBatch.from_arrays([keys, ids, decoded], [key, "ids", "decoded"])
-                at += len(ids)
+            for group in _blocks((text.as_py() or "" for text in batch.column(1)), GROUP_CHARS):
+                for ids, decoded in encode(group, merges, pattern):
+                    keys = batch.column(0).slice(at, len(ids))
+                    yield pa.RecordBatch.from_arrays([keys, ids, decoded], [key, "ids", "decoded"])
+                    at += len(ids)
 
     named = docs.select(F.col(key), F.col(text))
     kind = named.schema[0].dataType.simpleString()

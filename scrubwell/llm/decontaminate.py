@@ -21,6 +21,7 @@ from scrubwell.session import stage
 
 WINDOW = 10
 BLOCK_WORDS = 100_000
+HIT_COLUMN = "__hit"
 
 # Bytes of a word stay (A-Z lower-cased), all others become a space.
 _WORD_BYTES = bytes(
@@ -227,57 +228,53 @@ def _merged(groups: Column) -> Column:
     return merged(groups)
 
 
-def find_items(
+def with_hits(
     docs: DataFrame,
     items: DataFrame,
     window: int = WINDOW,
-    key: str = "doc_id",
     text: str = "text",
     item_key: str = "item_id",
     item_text: str = "text",
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """``<key>, text, n_words, spans, items`` for every row of ``docs``.
+    """``docs`` with a column HIT_COLUMN of ``n_words, spans, items`` per row.
 
     ``spans`` are the words [start, stop) inside any occurrence of a window:
     ``window`` words in a row of an item, or a whole item that is shorter.
     ``items`` are the ids (as strings, sorted) of the items with an occurring
     window; items without an id count as id "".  Null, empty and wordless texts
     of either table have no words and match nothing; repeated rows are treated
-    alike; other columns are ignored.
+    alike.  Beyond the first block of items the documents are written with what
+    was found so far and read again for the next block.
     """
-    named = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    shared = list(_automata(items, window, item_key, item_text, block_words))
-    passes = [named.withColumn("hit", _search(F.col("text"), block)) for block in shared]
-    if len(passes) == 1:
-        told = passes[0].select("key", "text", "hit.*")
-    else:
-        content = F.xxhash64("text", F.length("text")).alias("content")
-        hits = passes[0].select("key", content, "hit.*")
-        for one in passes[1:]:
-            hits = hits.union(one.select("key", content, "hit.*").filter("size(spans) > 0"))
-        joined = hits.groupBy("key", "content").agg(
-            F.max("n_words").alias("n_words"),
-            F.flatten(F.collect_set("spans")).alias("spans"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
-        )
-        joined = joined.withColumn("spans", _merged("spans"))
-        left = named.withColumn("content", content)
-        same = F.equal_null(left["key"], joined["key"]) & (left["content"] == joined["content"])
-        told = left.join(joined, same).select(left["key"], "text", "n_words", "spans", "items")
-    return told.withColumnRenamed("key", key)
-
-
-def hit_words(spans: str = "spans") -> Column:
+    hit, told = F.col(HIT_COLUMN), docs
+    for number, block in enumerate(_automata(items, window, item_key, item_text, block_words)):
+        found = _search(F.col(text), block)
+        if number:
+            told = stage(told, "hits").withColumn("__more", found)
+            more = F.col("__more")
+            found = F.struct(
+                hit["n_words"].alias("n_words"),
+                _merged(F.concat(hit["spans"], more["spans"])).alias("spans"),
+                F.array_sort(F.array_union(hit["items"], more["items"])).alias("items"),
+            )
+        told = told.withColumn(HIT_COLUMN, found).drop("__more")
+    return told
+
+
+def hit_words(spans: str) -> Column:
     return F.expr(f"aggregate({spans}, 0L, (n, s) -> n + s.stop - s.start)")
 
 
-def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+def contamination(
+    docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options
+) -> DataFrame:
     """``<key>, n_words, n_hit, n_items, items_sha256, contaminated`` for every row."""
-    return find_items(docs, items, key=key, **options).select(
+    told = with_hits(docs.select(key, F.col(text).alias("text")), items, **options)
+    return told.select(key, HIT_COLUMN + ".*").select(
         key,
         "n_words",
-        hit_words().alias("n_hit"),
+        hit_words("spans").alias("n_hit"),
         F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
@@ -310,7 +307,6 @@ def decontaminate(
     items: DataFrame,
     longest: int = 0,
     coverage: float = 1.0,
-    key: str = "doc_id",
     text: str = "text",
     **options,
 ) -> DataFrame:
@@ -321,17 +317,14 @@ def decontaminate(
     the share ``coverage`` of its words.  Texts without hits stay byte for byte.
     Of rows that share a key, each is judged by its own text.
     """
-    told = find_items(
-        docs.withColumn("__row", F.struct(*docs.columns)).select(
-            F.col("__row").alias("row"), F.col(text).alias("body")
-        ),
-        items,
-        key="row",
-        text="body",
-        **options,
+    told = with_hits(docs, items, text=text, **options)
+    spans = F.col(HIT_COLUMN)["spans"]
+    most = F.array_max(F.transform(spans, lambda s: s["stop"] - s["start"]))
+    hit = hit_words(HIT_COLUMN + ".spans")
+    kept = told.filter(
+        (F.coalesce(most, F.lit(0)) <= longest) & (hit <= coverage * F.col(HIT_COLUMN)["n_words"])
     )
-    most = F.coalesce(F.array_max(F.expr("transform(spans, s -> s.stop - s.start)")), F.lit(0))
-    kept = told.filter((most <= longest) & (hit_words() <= coverage * F.col("n_words")))
-    cut = kept.withColumn("cut", F.when(F.size("spans") > 0, cut_spans("text", "spans")).otherwise(F.col("text")))
-    fields = [F.col("cut").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns]
-    return cut.select(*fields)
+    if longest:
+        cut = F.when(F.size(spans) > 0, cut_spans(F.col(text), spans)).otherwise(F.col(text))
+        kept = kept.withColumn(text, cut)
+    return kept.select(*docs.columns)

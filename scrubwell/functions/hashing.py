@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 _BLOCK = 64
 
 
+# Names of the columns of content_identity.
+IDENTITY = ["_text_a", "_text_b"]
+
+
 def hmac_sha256(value: Column, key: str) -> Column:
     """HMAC-SHA256 of a string column as lower-case hex.
 
@@ -31,3 +35,12 @@ def pseudonym(value: Column, tag: str, key: str | None) -> Column:
     """``[TAG_HASH_<16 hex digits>]``; equal values under one key give equal results."""
     digest = hmac_sha256(value, key) if key else F.sha2(F.encode(value, "UTF-8"), 256)
     return F.concat(F.lit(f"[{tag}_HASH_"), F.substring(digest, 1, 16), F.lit("]"))
+
+
+def content_identity(text: Column) -> dict[str, Column]:
+    """Two columns, 128 bits, that name a text by its content.
+
+    What is found in a text is joined back by these and not by the caller's key,
+    which may be null or repeat; equal texts get equal results by construction.
+    """
+    return {IDENTITY[0]: F.xxhash64(text), IDENTITY[1]: F.xxhash64(F.lit(1), text)}

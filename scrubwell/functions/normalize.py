@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import unicodedata
-
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,9 +12,9 @@ from scrubwell import rules
 from scrubwell.functions.text import has_code, literal_replacement, matches, replace_matches, strip
 
 
-@F.pandas_udf(T.StringType())
-def _nfc(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda text: unicodedata.normalize("NFC", text), na_action="ignore")
+@F.arrow_udf(T.StringType())
+def _nfc(texts: pa.Array) -> pa.Array:
+    return pc.utf8_normalize(texts, form="NFC")
 
 
 def normalize_nfc(text: Column) -> Column:

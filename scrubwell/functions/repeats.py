@@ -1,5 +1,7 @@
 """Repeated words and sentences inside one text."""
 
+import heapq
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,23 +27,61 @@ def _thinner(min_gap: int):
     """
 
     def thin_out(items: list[str]) -> list[str]:
-        # One value at a time, in order of first appearance.  Gaps run between
-        # its places as they stand, those about to go included; what follows
-        # moves up, so the search starts over.
-        items = list(items)
-        settled = False
-        while not settled:
-            settled = True
-            places: dict[str, list[int]] = {}
-            for place, item in enumerate(items):
-                places.setdefault(item, []).append(place)
-            for spots in places.values():
-                doomed = {b for a, b in zip(spots, spots[1:]) if b - a < min_gap}
-                if doomed:
-                    items = [item for place, item in enumerate(items) if place not in doomed]
-                    settled = False
-                    break
-        return items
+        """Drop places of a value closer than the gap to its place before, value by value.
+
+        The value whose first place comes first goes next.  Gaps run between
+        places as they stand, those about to go included; a deletion can only bring
+        the few places behind it too close, so only they are looked at again.
+        First places never go, so the order of values is fixed.
+        """
+        end = len(items)
+        before, after = list(range(-1, end)), list(range(1, end + 2))
+        first: dict[str, int] = {}
+        close: dict[str, set[int]] = {}
+        waiting: list[tuple[int, str]] = []
+
+        def too_close(place: int) -> bool:
+            back = before[place]
+            for _ in range(min_gap - 1):
+                if back < 0:
+                    return False
+                if items[back] == items[place]:
+                    return True
+                back = before[back]
+            return False
+
+        def look_at(place: int) -> None:
+            if too_close(place):
+                value = items[place]
+                if value not in close:
+                    close[value] = set()
+                    heapq.heappush(waiting, (first[value], value))
+                close[value].add(place)
+
+        for place, item in enumerate(items):
+            first.setdefault(item, place)
+            look_at(place)
+        gone = set()
+        while waiting:
+            _, value = heapq.heappop(waiting)
+            doomed = [place for place in close.pop(value) if too_close(place)]
+            behind = set()
+            for place in doomed:
+                after[before[place]] = after[place]
+                before[after[place]] = before[place]
+            gone.update(doomed)
+            for place in doomed:
+                step = after[place]
+                for _ in range(min_gap - 1):
+                    while step in gone:
+                        step = after[step]
+                    if step >= end:
+                        break
+                    behind.add(step)
+                    step = after[step]
+            for place in behind:
+                look_at(place)
+        return [item for place, item in enumerate(items) if place not in gone]
 
     def thin_sentences(found):
         if found is None:

@@ -19,7 +19,8 @@ def dedupe_texts(df: DataFrame, order: str = "doc_id", text: str = "text") -> Da
     rest = [name for name in df.columns if name not in (text, order)]
     if not rest:
         return grouped.agg(F.min(order).alias(order)).select(*df.columns)
-    first = F.min_by(F.struct(order, *rest), F.col(order))
+    # a null order comes last, and its row keeps its columns
+    first = F.min_by(F.struct(order, *rest), F.struct(F.col(order).isNull(), order))
     return grouped.agg(first.alias("_row")).select(text, "_row.*").select(*df.columns)
 
 

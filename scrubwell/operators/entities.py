@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrubwell import rules
-from scrubwell.functions.hashing import pseudonym
+from scrubwell.functions.hashing import IDENTITY, content_identity, pseudonym
 from scrubwell.functions.text import let, pieces, splice, strip
 from scrubwell.session import stage
 
@@ -66,7 +66,7 @@ def find_entities(
     hits = candidates.join(names, ["term", "parts"]).groupBy(*keys)
     spans = hits.agg(
         F.array_sort(
-            F.collect_list(F.struct("pos", (-F.col("parts")).alias("order"), "term", "label"))
+            F.collect_set(F.struct("pos", (-F.col("parts")).alias("order"), "term", "label"))
         ).alias("found")
     )
     kept_type = "array<struct<pos:int,len:int,term:string,label:string>>"
@@ -94,15 +94,17 @@ def find_entities(
 def redact_entities(
     df: DataFrame,
     names: DataFrame,
-    key: str | list[str] = "doc_id",
     text: str = "text",
     token: str = rules.TOKENS["NAME"],
     hmac_key: str | None = None,
     spans: str | None = None,
 ) -> DataFrame:
-    """Replace listed names; ``spans`` names a column to keep the found spans in."""
-    keys = [key] if isinstance(key, str) else list(key)
-    found = find_entities(df, names, keys, text).withColumnRenamed("spans", "_spans")
+    """Replace listed names; ``spans`` names a column to keep the found spans in.
+
+    Texts are told apart by their content, so the table needs no key.
+    """
+    df = df.withColumns(content_identity(F.col(text)))
+    found = find_entities(df, names, IDENTITY, text).withColumnRenamed("spans", "_spans")
 
     def edit(span: Column) -> Column:
         new = pseudonym(span["term"], "NAME", hmac_key) if hmac_key else F.lit(token)
@@ -112,7 +114,8 @@ def redact_entities(
         pieces(F.col(text)),
         lambda parts: let(F.transform("_spans", edit), lambda edits: splice(parts, edits)),
     )
-    redacted = df.join(found, keys, "left").withColumn(
+    redacted = df.join(found, IDENTITY, "left").withColumn(
         text, F.when(F.col("_spans").isNotNull(), spliced).otherwise(F.col(text))
     )
+    redacted = redacted.drop(*IDENTITY)
     return redacted.withColumnRenamed("_spans", spans) if spans else redacted.drop("_spans")

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrubwell import rules
+from scrubwell.functions.hashing import IDENTITY, content_identity
 from scrubwell.functions.text import character_grams
 from scrubwell.session import stage
 
@@ -48,14 +48,19 @@ def train_language_model(
     df: DataFrame,
     text: str = "text",
     lang: str = "lang",
-    languages: tuple[str, ...] = rules.LANGUAGES,
+    languages: tuple[str, ...] | None = None,
 ) -> LanguageModel:
     """Count grams per language and smooth the counts by one.
 
+    ``languages`` are all labels of the training table unless given.
+
     Counts combine before the shuffle, so a language holding most of the rows
     sends no more than one row per gram and task.  Only the totals, one row,
     come back to the driver.
     """
+    if languages is None:
+        labels = df.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang")).distinct()
+        languages = tuple(sorted(row.lang for row in labels.collect()))
     grams = df.select(F.col(lang).alias("lang"), F.explode(_grams(F.col(text))).alias("gram"))
     counts = stage(
         grams.filter(F.col("lang").isin(*languages))
@@ -95,21 +100,22 @@ def profile_table(model: LanguageModel) -> DataFrame:
     )
 
 
-def detect_language(
-    df: DataFrame, model: LanguageModel, key: str | list[str] = "doc_id", text: str = "text"
-) -> DataFrame:
+def detect_language(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """Add ``lang_detected``; NULL where a text is too short to hold a gram.
 
-    Only keys travel with the grams, and their sums combine before the shuffle
-    to one narrow row per text.  The profile table is read from files, so the
+    Texts are told apart by their content, so the table needs no key.  Only two
+    hashes travel with the grams, and their sums combine before the shuffle to one
+    narrow row per distinct text; the sums of a repeated text are divided again.  The profile table is read from files, so the
     planner broadcasts it when those are small and joins by shuffle otherwise.
     """
-    keys = [key] if isinstance(key, str) else list(key)
+    df = df.withColumns(content_identity(F.col(text)))
+    gain = [f"gain_{name}" for name in model.languages]
     gains = (
-        df.select(*keys, F.explode(_grams(F.col(text))).alias("gram"))
-        .join(model.profiles.drop(*[f"n_{name}" for name in model.languages]), "gram")
-        .groupBy(*keys)
-        .agg(*[F.sum(f"gain_{name}").alias(f"_{name}") for name in model.languages])
+        df.select(*IDENTITY, F.posexplode(_grams(F.col(text))).alias("pos", "gram"))
+        .join(model.profiles.select("gram", *gain), "gram", "left")
+        .groupBy(*IDENTITY)
+        .agg(F.count_if(F.col("pos") == 0).alias("_rows"), *[F.sum(name).alias(name) for name in gain])
+        .select(*IDENTITY, *[F.expr(f"`{n}` div _rows AS `_{n[5:]}`") for n in gain])
     )
     size = F.greatest(F.length(F.lower(F.col(text))) - (GRAM_SIZE - 1), F.lit(0))
     scores = F.array(
@@ -126,21 +132,20 @@ def detect_language(
     )
     best = F.when(size > 0, F.array_max(scores)["lang"])
     return (
-        df.join(gains, keys, "left")
+        df.join(gains, IDENTITY, "left")
         .withColumn("lang_detected", best)
-        .drop(*[f"_{name}" for name in model.languages])
+        .drop(*IDENTITY, *[f"_{name}" for name in model.languages])
     )
 
 
 def route_foreign(
     df: DataFrame,
     model: LanguageModel,
-    key: str | list[str] = "doc_id",
     text: str = "text",
     home: str = "en",
 ) -> DataFrame:
     """Mark the texts a translator would have to handle."""
-    found = detect_language(df, model, key, text)
+    found = detect_language(df, model, text)
     foreign = F.coalesce(F.col("lang_detected") != home, F.lit(False))
     return found.withColumn("needs_translation", foreign)
 
@@ -148,10 +153,9 @@ def route_foreign(
 def blank_foreign(
     df: DataFrame,
     model: LanguageModel,
-    key: str | list[str] = "doc_id",
     text: str = "text",
     home: str = "en",
 ) -> DataFrame:
     """Empty every text that is not in the home language."""
-    routed = route_foreign(df, model, key, text, home)
+    routed = route_foreign(df, model, text, home)
     return routed.withColumn(text, F.when(F.col("needs_translation"), "").otherwise(F.col(text)))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrubwell import rules
+from scrubwell.functions.hashing import IDENTITY, content_identity
 from scrubwell.functions.distance import letters_sorted, swap_distance
 from scrubwell.functions.text import has_code, let, matches, splice
 from scrubwell.session import stage
@@ -31,8 +32,8 @@ def one_space_between_sentences(text: Column) -> Column:
     )
 
 
-def build_vocabulary(df: DataFrame, text: str = "text", min_count: int = 5) -> DataFrame:
-    """``term, freq`` of all letter-only words, in lower case."""
+def build_vocabulary(df: DataFrame, text: str = "text", min_count: int = 1) -> DataFrame:
+    """``term, freq`` of all letter-only words seen ``min_count`` times, in lower case."""
     return (
         df.select(F.explode(guarded_pieces(F.col(text))).alias("piece"))
         .filter(F.col("piece").rlike(rules.LETTERS_ONLY))
@@ -52,8 +53,13 @@ def correctable_words(df: DataFrame, keys: list[str], text: str = "text") -> Dat
     )
 
 
-def unknown_words(df: DataFrame, vocabulary: DataFrame, text: str = "text") -> DataFrame:
+def unknown_words(
+    df: DataFrame, vocabulary: DataFrame, text: str = "text", keep: str | None = None
+) -> DataFrame:
+    """Words that are not in the vocabulary and do not match the pattern ``keep``."""
     words = correctable_words(df, [], text).select("word").distinct()
+    if keep:
+        words = words.filter(~F.col("word").rlike(keep))
     return words.join(vocabulary, words.word == vocabulary.term, "left_anti")
 
 
@@ -138,29 +144,30 @@ def suggest_spelling(unknown: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return near.unionByName(_nearest(rest, vocabulary, MAX_DISTANCE))
 
 
-def spelling_map(df: DataFrame, vocabulary: DataFrame, text: str = "text") -> DataFrame:
+def spelling_map(
+    df: DataFrame, vocabulary: DataFrame, text: str = "text", keep: str | None = None
+) -> DataFrame:
     """The suggestions for all words of ``df``, written once as a table."""
     terms = stage(vocabulary, "vocabulary")
-    unknown = stage(unknown_words(df, terms, text), "unknown-words")
+    unknown = stage(unknown_words(df, terms, text, keep), "unknown-words")
     return stage(suggest_spelling(unknown, terms), "suggestions")
 
 
-def correct_spelling(
-    df: DataFrame, suggestions: DataFrame, key: str | list[str] = "doc_id", text: str = "text"
-) -> DataFrame:
+def correct_spelling(df: DataFrame, suggestions: DataFrame, text: str = "text") -> DataFrame:
     """Replace the words that have a suggestion.
 
+    Texts are told apart by their content, so the table needs no key.
     Only those words are shuffled, with their place in the text; every text is
     then cut and put together again in its own row.
     """
-    keys = [key] if isinstance(key, str) else list(key)
+    df = df.withColumns(content_identity(F.col(text)))
     edits = (
-        correctable_words(df, keys, text)
+        correctable_words(df, IDENTITY, text)
         .join(suggestions.select("word", "term"), "word")
-        .groupBy(*keys)
+        .groupBy(*IDENTITY)
         .agg(
             F.array_sort(
-                F.collect_list(
+                F.collect_set(
                     F.struct("pos", F.lit(1).alias("len"), F.col("term").alias("token"))
                 )
             ).alias("_edits")
@@ -169,7 +176,7 @@ def correct_spelling(
     plain = one_space_between_sentences(F.col(text))
     spliced = let(guarded_pieces(plain), lambda parts: splice(parts, F.col("_edits")))
     return (
-        df.join(edits, keys, "left")
+        df.join(edits, IDENTITY, "left")
         .withColumn(text, F.when(F.col("_edits").isNotNull(), spliced).otherwise(plain))
-        .drop("_edits")
+        .drop("_edits", *IDENTITY)
     )

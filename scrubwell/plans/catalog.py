@@ -708,7 +708,7 @@ def train_language_profiles(spark: SparkSession, folder: str) -> DataFrame:
 )
 def detect_language(spark: SparkSession, folder: str) -> DataFrame:
     talk = table(spark, folder, "conversations")
-    found = language.detect_language(talk, _trained(spark, folder), ["conv_id", "turn"])
+    found = language.detect_language(talk, _trained(spark, folder))
     return found.select("conv_id", "turn", "lang_detected")
 
 
@@ -730,7 +730,7 @@ def route_foreign(spark: SparkSession, folder: str) -> DataFrame:
 )
 def blank_foreign(spark: SparkSession, folder: str) -> DataFrame:
     talk = table(spark, folder, "conversations")
-    blanked = language.blank_foreign(talk, _trained(spark, folder), ["conv_id", "turn"])
+    blanked = language.blank_foreign(talk, _trained(spark, folder))
     return blanked.select("conv_id", "turn", "text")
 
 
@@ -739,18 +739,19 @@ def blank_foreign(spark: SparkSession, folder: str) -> DataFrame:
 MIN_COUNT = 5
 _GUARDED_RE2 = (
     r"(?i:(?:(?:https?|ftp)://|www\.)[^\s<>\"]+)"
-    r"|(?i:[a-z0-9._%+\-]+@[a-z0-9.\-]+\.[a-z]{2,})|" + _PIECES_RE2
+    r"|(?i:[a-z0-9._%+\-]+@[a-z0-9.\-]+\.[a-z]{2,})|" + rules.GUARDED_TOKEN + "|" + _PIECES_RE2
 )
 _LOWER_RE2 = r"^[\p{Ll}\p{Lo}\p{Lm}][\p{L}\p{M}]*$"
 _ACCENTS = "éèêëàâäáçîïíìôöóòûüúùñßæœåø"
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|"
 _PLAIN_SQL = f"regexp_replace(text, {sql.lit(f'([.?!]){sql.SPACE}+')}, '\\1 ', 'g')"
-_VOCABULARY_SQL = f"""
+_TERMS_SQL = f"""
     voc AS MATERIALIZED (SELECT lower(piece) AS term, count(*) AS freq FROM (
         SELECT unnest(regexp_extract_all(text, {sql.lit(_GUARDED_RE2)})) AS piece
         FROM documents WHERE lang = 'en')
       WHERE regexp_matches(piece, '^\\p{{L}}[\\p{{L}}\\p{{M}}]*$')
-      GROUP BY lower(piece) HAVING count(*) >= {MIN_COUNT})"""
+      GROUP BY lower(piece))"""
+_VOCABULARY_SQL = _TERMS_SQL.removesuffix(")") + f" HAVING count(*) >= {MIN_COUNT})"
 
 
 def _bytes_sql(word: str) -> str:
@@ -818,9 +819,10 @@ def _vocabulary(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.build_vocabulary(english, min_count=MIN_COUNT)
 
 
-@register("build_vocabulary", f"WITH {_VOCABULARY_SQL} SELECT term, freq FROM voc")
+@register("build_vocabulary", f"WITH {_TERMS_SQL} SELECT term, freq FROM voc")
 def build_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
-    return _vocabulary(spark, folder)
+    """All terms; the queries below ask for those seen MIN_COUNT times."""
+    return spelling.build_vocabulary(documents(spark, folder).filter(F.col("lang") == "en"))
 
 
 @register("suggest_spelling", f"WITH {_SUGGEST_SQL} SELECT word, term, distance FROM sug")

@@ -138,7 +138,7 @@ class Cleaner:
     # -- steps that join ----------------------------------------------------
 
     def _route(self, df: DataFrame) -> DataFrame:
-        return language.route_foreign(df, self.language_model, self.keys, self.text)
+        return language.route_foreign(df, self.language_model, self.text)
 
     def _blank(self, df: DataFrame) -> DataFrame:
         if "needs_translation" not in df.columns:
@@ -149,12 +149,19 @@ class Cleaner:
         )
 
     def _spell(self, df: DataFrame) -> DataFrame:
-        suggestions = spelling.spelling_map(df, self.vocabulary, self.text)
+        """English only, where the language is known; profanity is left for its own step."""
         old = "_before"
+        home = F.lit(True)
+        if "lang_detected" in df.columns:
+            home = F.coalesce(F.col("lang_detected") == "en", F.lit(True))
+        suggestions = spelling.spelling_map(
+            df.filter(home), self.vocabulary, self.text, redact.profanity_pattern(self.profanity)
+        )
         fixed = spelling.correct_spelling(
-            df.withColumn(old, F.col(self.text)), suggestions, self.keys, self.text
+            df.withColumn(old, F.col(self.text)), suggestions, self.text
         )
         swapped = fixed.withColumnsRenamed({self.text: "_new", old: self.text})
+        swapped = swapped.withColumn("_new", F.when(home, F.col("_new")).otherwise(F.col(self.text)))
         return self._log_change(swapped, "spell_check", "SPELLING", log_result=True).select(
             *df.columns
         )
@@ -162,7 +169,7 @@ class Cleaner:
     def _names(self, df: DataFrame) -> DataFrame:
         names = entities.prepare_gazetteer(self.gazetteer)
         found = entities.redact_entities(
-            df, names, self.keys, self.text, self.tokens["NAME"], self.hmac_key, spans="_spans"
+            df, names, self.text, self.tokens["NAME"], self.hmac_key, spans="_spans"
         )
         rule = redact.Rule("NAME", "", self.tokens["NAME"], key=self.hmac_key)
         rows = F.transform(
@@ -287,6 +294,6 @@ class Cleaner:
 
     def clean_distinct(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Like :meth:`clean`, without dropped texts and repeated cleaned texts."""
-        cleaned, found = self.clean(df)
-        kept = dedupe.dedupe_texts(cleaned, self.keys[0], self.text)
-        return kept, dedupe.dedupe_report(found, kept, self.keys[0])
+        kept = dedupe.dedupe_texts(self.transform(df), self.keys[0], self.text)
+        done = stage(kept, "cleaned")
+        return done.drop("findings"), findings.explode_findings(done, self.keys)

@@ -37,7 +37,6 @@ CANDIDATE_CURRENCY_TOKEN = "<CURRENCY>"
 PROFANITY = ("damn", "shit", "fuck", "bitch", "asshole", "bastard", "crap", "prick")
 CURRENCY_CODES = ("USD", "EUR", "GBP", "JPY", "CNY", "AUD", "CAD", "INR", "RUB", "KRW", "BRL")
 CURRENCY_SYMBOLS = "$€£¥₩₹₽₴₪₫₱฿₦"
-LANGUAGES = ("de", "en", "es", "fr")
 
 # --- fixed values: patterns -----------------------------------------------
 EMAIL = r"(?Ui)(?<![/\w.\-])[a-z0-9._%+\-]++@[a-z0-9.\-]+\.[a-z]{2,}"
@@ -62,7 +61,8 @@ HTML_TAG = r"<[^>]+>"
 CODE_FENCE = r"```[\s\S]*?```"
 CODE_INLINE = r"`[^`]*`"
 CONTROL = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F-\x9F]"
-NONPRINTABLE = r"[\p{C}\p{Z}&&[^ ]]"
+# Unassigned code points stay: what the JVM does not know yet may be printable.
+NONPRINTABLE = r"[\p{Cc}\p{Cf}\p{Cs}\p{Co}\p{Z}&&[^ ]]"
 SPACE = r"(?U)[\s\x1C-\x1F]"
 SPACES = SPACE + "+"
 REPEATED_CHAR = r"(?d)(.)\1{4,}"
@@ -96,9 +96,13 @@ IPV6_FULL = r"^(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}\z"
 # The 32 ASCII punctuation marks, as the inside of a character class.
 ASCII_PUNCTUATION = r"!-/:-@\[-`{-~"
 WORD_PIECES = rf"(?U)[^{ASCII_PUNCTUATION}\s]++|[{ASCII_PUNCTUATION}\s]"
-# The same cut with web and e-mail addresses kept whole.
+# Whatever holds a digit, a slash, an at sign, an underscore or colon-separated hex:
+# numbers, addresses of machines, paths, identifiers.
+GUARDED_TOKEN = r"\S*(?:[0-9/\\@_]|[0-9A-Fa-f]:[0-9A-Fa-f:])\S*"
+# The same cut with web and e-mail addresses and such tokens kept whole.
 GUARDED_PIECES = (
     "(?U)(?i:" + URL.removeprefix("(?Ui)") + ")|(?i:" + EMAIL.removeprefix("(?Ui)") + ")|"
+    + GUARDED_TOKEN + "|"
     + WORD_PIECES.removeprefix("(?U)")
 )
 # A word made of letters only, and one that does not start with a capital.

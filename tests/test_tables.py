@@ -274,3 +274,46 @@ def test_scratch_folder_comes_from_the_session(spark):
     root = scratch_root(spark)
     assert spark.conf.get("spark.checkpoint.dir") == root
     assert scratch_path(spark, "x").startswith(root)
+
+
+def test_tables_without_usable_keys(spark):
+    """Null and repeated keys: what is found in a text is joined back by its content."""
+    rows = [(None, "Say it to Anna or else now"), (1, "Say it to Anna or else now"), (1, "or else Bob")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    names = entities.prepare_gazetteer(
+        spark.createDataFrame([("Anna", "PERSON"), ("Bob", "PERSON")], "term string, label string")
+    )
+    out = sorted(row.text for row in entities.redact_entities(docs, names).collect())
+    token = "[NAME_REDACTED]"
+    assert out == sorted([f"Say it to {token} or else now"] * 2 + [f"or else {token}"])
+    vocabulary = spark.createDataFrame([("else", 9), ("now", 5), ("say", 1)], "term string, freq bigint")
+    typos = docs.selectExpr("doc_id", "replace(text, 'else', 'elsse') AS text")
+    fixed = spelling.correct_spelling(typos, spelling.spelling_map(typos, vocabulary))
+    assert all("else" in row.text and "elsse" not in row.text for row in fixed.collect())
+    train = spark.createDataFrame(
+        [("the cat and the dog", "en"), ("der hund und die katze", "de")], "text string, lang string"
+    )
+    model = language.train_language_model(train)
+    talk = spark.createDataFrame(
+        [(None, "the dog and the cat"), (None, "the dog and the cat"), (2, "die katze"), (2, None)],
+        "doc_id bigint, text string",
+    )
+    found = language.detect_language(talk, model).collect()
+    assert sorted(str(row.lang_detected) for row in found) == ["None", "de", "en", "en"]
+
+
+def test_distinct_without_keys(spark):
+    docs = spark.createDataFrame([(None, "a@b.co"), (None, "c@d.co")], "doc_id bigint, text string")
+    kept, found = Cleaner().clean_distinct(docs)
+    assert kept.count() == 1 and found.count() == 1
+
+
+def test_spelling_leaves_identifiers_and_foreign_texts(spark):
+    vocabulary = spark.createDataFrame([(w, 9) for w in "add be bat dawn at".split()], "term string, freq bigint")
+    texts = ["mac aa:bb:cc:dd:ee:ff", "1b4e28ba-abad-4aaa-8bad-0123456789ab", "see /etc/hosts", "oh damn it"]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id int, text string, lang_detected string")
+    foreign = docs.selectExpr("9 AS doc_id", "'cafe le chat' AS text", "'fr' AS lang_detected").limit(1)
+    cleaner = Cleaner(vocabulary=vocabulary)
+    out = {r.doc_id: r.text for r in cleaner.transform(docs.union(foreign)).collect()}
+    assert "[MAC_REDACTED]" in out[0] and "[UUID_REDACTED]" in out[1] and "[PATH_REDACTED]" in out[2]
+    assert "[PROFANITY_REDACTED]" in out[3] and out[9] == "cafe le chat"

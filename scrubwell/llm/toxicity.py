@@ -171,8 +171,10 @@ def train(
 
     The rows with the smallest hashes of their key are taken, so the choice does
     not depend on how the tables are split.  Null labels and null keys do not
-    count.  The terms of the chosen texts, some hundred bytes to kilobytes each,
-    go to the driver.
+    count; of rows that repeat a key the one with the smallest terms is learned
+    from.  The chosen keys, ``sample`` at most, are broadcast, so no text is
+    shuffled; the terms of the chosen texts, some hundred bytes to kilobytes
+    each, go to the driver.
     """
     known = (
         labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key)))
@@ -190,8 +192,10 @@ def train(
 
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     rows = (
-        texts.join(known, "key")
+        texts.join(F.broadcast(known), "key")
         .select("key", "toxic", hashed(F.col("text")).alias("terms"))
+        .groupBy("key", "toxic")
+        .agg(F.min("terms").alias("terms"))
         .toArrow()
         .sort_by("key")
     )

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from dataclasses import asdict
+from dataclasses import asdict, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +28,8 @@ from scrubwell.operators import (
 )
 from scrubwell.plans import oracles as sql
 from scrubwell.plans.cleaner import Cleaner
-from scrubwell.plans.config import CleanConfig
-from scrubwell.session import scratch_path, stage
+from scrubwell.plans.config import NO_TABLES, CleanConfig
+from scrubwell.session import INPUT_TASKS, scratch_path, stage
 from scrubwell.sources import corpus
 from scrubwell.streaming import jobs
 
@@ -49,10 +49,10 @@ def register(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table; dealt out evenly if its files give fewer tasks than there are cores."""
+    """A table; dealt out evenly where the session asks for it."""
     df = corpus.read_table(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    return corpus.spread(df, cores) if df.rdd.getNumPartitions() < cores else df
+    tasks = spark.conf.get(INPUT_TASKS, None)
+    return corpus.spread(df, int(tasks)) if tasks else df
 
 
 def documents(spark: SparkSession, folder: str, spike: str = "text") -> DataFrame:
@@ -439,9 +439,8 @@ redacting(
     sql.per_match(sql.IPV4, f"'[IPV4_HASH_' || left({_hmac_sql('h', PSEUDONYM_KEY)}, 16) || ']'"),
 )
 
-_OFF = {
+_OFF = NO_TABLES | {
     "normalize_unicode": False,
-    "translate_lang": False,
     "remove_html_tags": False,
     "collapse_whitespace": False,
     "remove_control_chars": False,
@@ -479,7 +478,8 @@ def redact_all(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def clean_corpus(spark: SparkSession, folder: str) -> DataFrame:
-    return Cleaner().transform(documents(spark, folder, EVERYTHING)).select("doc_id", "text")
+    docs = documents(spark, folder, EVERYTHING)
+    return Cleaner(CleanConfig(**NO_TABLES)).transform(docs).select("doc_id", "text")
 
 
 # --- predicates -------------------------------------------------------------
@@ -623,8 +623,7 @@ rewriting("drop_repeats", SPIKES["repeats"], repeats.drop_repeats, sql.drop_repe
 rewriting("drop_repeats_code", SPIKES["code"], repeats.drop_repeats, sql.drop_repeats)
 
 
-# Deletions change later gaps, which SQL cannot state; tested against brute force.
-@register("drop_repeats_wide")
+@register("drop_repeats_wide", sql.drop_repeats_wide("documents", 4))
 def drop_repeats_wide(spark: SparkSession, folder: str) -> DataFrame:
     thinned = repeats.drop_repeats(F.col("text"), 4)
     return documents(spark, folder).select("doc_id", thinned.alias("text"))
@@ -795,12 +794,15 @@ def _swap_and_step_sql() -> str:
 
 
 _SWAP_AND_STEP_SQL = _swap_and_step_sql()
-_SUGGEST_SQL = f"""{_VOCABULARY_SQL},
+
+
+def _suggest_sql(source: str, keep: str = "") -> str:
+    return f"""{_VOCABULARY_SQL},
     parts AS MATERIALIZED (SELECT doc_id, regexp_extract_all({_PLAIN_SQL}, {sql.lit(_GUARDED_RE2)}) AS p
-                           FROM documents),
+                           FROM {source}),
     unknown AS MATERIALIZED (SELECT DISTINCT piece AS word FROM (SELECT unnest(p) AS piece FROM parts)
         WHERE regexp_matches(piece, {sql.lit(_LOWER_RE2)})
-          AND piece NOT IN (SELECT term FROM voc)),
+          AND piece NOT IN (SELECT term FROM voc){keep}),
     {_deletions_sql('unknown', 'word', 'u')},
     {_deletions_sql('voc', 'term', 'v')},
     pairs AS MATERIALIZED (SELECT word, term,
@@ -814,6 +816,9 @@ _SUGGEST_SQL = f"""{_VOCABULARY_SQL},
         FROM near GROUP BY word))"""
 
 
+_SUGGEST_SQL = _suggest_sql("documents")
+
+
 def _vocabulary(spark: SparkSession, folder: str) -> DataFrame:
     english = documents(spark, folder).filter(F.col("lang") == "en")
     return spelling.build_vocabulary(english, min_count=MIN_COUNT)
@@ -886,9 +891,10 @@ def _named(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_PIECE_SPANS_SQL = f"""
+def _spans_sql(source: str) -> str:
+    return f"""
     d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(text, {sql.lit(_PIECES_RE2)}) AS p
-                       FROM ({_NAMED_SQL})),
+                       FROM {source}),
     gaz AS MATERIALIZED (SELECT term, label, len(regexp_extract_all(term, {sql.lit(_PIECES_RE2)})) AS k
                          FROM ({_GAZETTEER_SQL})),
     place AS MATERIALIZED (SELECT doc_id, i, piece AS w1, piece || lead(piece, 1) OVER o AS w2,
@@ -903,9 +909,19 @@ _PIECE_SPANS_SQL = f"""
             WHERE o.doc_id = h.doc_id AND (o.i < h.i AND o.i + o.k > h.i OR o.i = h.i AND o.k > h.k)))"""
 
 
+def _without_names_sql(source: str) -> str:
+    return (
+        f"WITH {_spans_sql(source)}, piece AS (SELECT doc_id, unnest(p) AS piece, "
+        "generate_subscripts(p, 1) AS i FROM d) SELECT piece.doc_id, string_agg(CASE WHEN "
+        f"span.i = piece.i THEN '{rules.TOKENS['NAME']}' WHEN span.i IS NOT NULL THEN '' ELSE piece END, '' "
+        "ORDER BY piece.i) AS text FROM piece LEFT JOIN span ON span.doc_id = piece.doc_id "
+        "AND piece.i BETWEEN span.i AND span.i + span.k - 1 GROUP BY piece.doc_id"
+    )
+
+
 @register(
     "entity_spans",
-    f"WITH {_PIECE_SPANS_SQL} SELECT doc_id, CAST(i - 1 AS INTEGER) AS pos, "
+    f"WITH {_spans_sql(f'({_NAMED_SQL})')} SELECT doc_id, CAST(i - 1 AS INTEGER) AS pos, "
     "CAST(k AS INTEGER) AS len, term, label FROM span",
 )
 def entity_spans(spark: SparkSession, folder: str) -> DataFrame:
@@ -914,19 +930,115 @@ def entity_spans(spark: SparkSession, folder: str) -> DataFrame:
     return spans.select("doc_id", F.inline("spans"))
 
 
-@register(
-    "redact_entities",
-    f"WITH {_PIECE_SPANS_SQL}, piece AS (SELECT doc_id, unnest(p) AS piece, "
-    "generate_subscripts(p, 1) AS i FROM d) SELECT piece.doc_id, string_agg(CASE WHEN "
-    f"span.i = piece.i THEN '{rules.TOKENS['NAME']}' WHEN span.i IS NOT NULL THEN '' ELSE piece END, '' "
-    "ORDER BY piece.i) AS text FROM piece LEFT JOIN span ON span.doc_id = piece.doc_id "
-    "AND piece.i BETWEEN span.i AND span.i + span.k - 1 GROUP BY piece.doc_id",
-)
+@register("redact_entities", _without_names_sql(f"({_NAMED_SQL})"))
 def redact_entities(spark: SparkSession, folder: str) -> DataFrame:
     names = entities.prepare_gazetteer(_gazetteer(spark, folder))
     return entities.redact_entities(_named(spark, folder), names)
 
 
+# --- the whole cleaner ------------------------------------------------------
+
+
+def _language_step(source: str) -> str:
+    return f"WITH {_detect_sql(source, 'doc_id')} SELECT * FROM found"
+
+
+def _spelling_step(home: str = "true") -> sql.Step:
+    """Texts for which ``home`` holds; words of the profanity list stay."""
+    listed = "|".join(sorted(rules.PROFANITY))
+    keep = f" AND NOT regexp_matches(piece, '(?i)\\b(?:{listed})\\b')"
+
+    def step(source: str) -> str:
+        here = f"(SELECT doc_id, text FROM {source} WHERE {home})"
+        return (
+            f"WITH {_suggest_sql(here, keep)}, words AS (SELECT doc_id, unnest(p) AS piece, "
+            "generate_subscripts(p, 1) AS pos FROM parts), fixed AS ("
+            "SELECT doc_id, string_agg(coalesce(term, piece), '' ORDER BY pos) AS text "
+            "FROM words LEFT JOIN sug ON piece = word GROUP BY doc_id) "
+            "SELECT o.* REPLACE (coalesce(fixed.text, o.text) AS text) "
+            f"FROM {source} o LEFT JOIN fixed USING (doc_id)"
+        )
+
+    return step
+
+
+def _names_step(source: str) -> str:
+    return (
+        f"SELECT o.* REPLACE (coalesce(n.text, o.text) AS text) FROM {source} o "
+        f"LEFT JOIN ({_without_names_sql(source)}) n USING (doc_id)"
+    )
+
+
+def _full_sql(final: str) -> str:
+    return sql.chain(
+        f"SELECT doc_id, {EVERYTHING} AS text FROM ({_NAMED_SQL})",
+        sql.nfc,
+        _language_step,
+        sql.strip_html,
+        sql.collapse_space,
+        sql.strip_control,
+        sql.strip_nonprintable,
+        sql.shrink_runs,
+        sql.trim_text,
+        _spelling_step("coalesce(lang_detected = 'en', true)"),
+        _names_step,
+        *[step for name, _, _, step in sql.REDACT_ALL if name != "replace_ip"],
+        sql.drop_repeats,
+        sql.null_short(1),
+        final=final,
+    )
+
+
+def _full_input(spark: SparkSession, folder: str) -> DataFrame:
+    return stage(_named(spark, folder).withColumn("text", F.expr(EVERYTHING)), "input")
+
+
+def _full_cleaner(spark: SparkSession, folder: str) -> Cleaner:
+    """All steps that are on by default, with the three tables they need."""
+    return Cleaner(
+        vocabulary=_vocabulary(spark, folder),
+        language_model=_trained(spark, folder),
+        gazetteer=_gazetteer(spark, folder),
+    )
+
+
+@register("clean_corpus_full", _full_sql("SELECT doc_id, text, lang_detected FROM {last}"))
+def clean_corpus_full(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = _full_cleaner(spark, folder).transform(_full_input(spark, folder))
+    return cleaned.select("doc_id", "text", "lang_detected")
+
+
+@register("clean_keyless", _full_sql("SELECT text FROM {last}"))
+def clean_keyless(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines that hold nothing but a text."""
+    lines = _write_lines(_full_input(spark, folder).select("text"), "keyless")
+    docs = corpus.read_jsonl(spark, lines)
+    return _full_cleaner(spark, folder).transform(docs).select("text")
+
+
+@register("clean_duplicate_keys", _full_sql("SELECT doc_id % 7 AS doc_id, text FROM {last}"))
+def clean_duplicate_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """The cleaner on a table whose key names many texts each."""
+    docs = _full_input(spark, folder).withColumn("doc_id", F.col("doc_id") % 7)
+    return _full_cleaner(spark, folder).transform(docs).select("doc_id", "text")
+
+
+@register(
+    "spell_then_redact",
+    sql.chain(
+        documents_sql(EVERYTHING),
+        _spelling_step(),
+        *[step for *_, step in sql.REDACT_ALL],
+        final="SELECT doc_id, text FROM {last}",
+    ),
+)
+def spell_then_redact(spark: SparkSession, folder: str) -> DataFrame:
+    """Spelling in front of all rules: what a rule redacts must reach it unchanged."""
+    config = replace(REDACTION_ONLY, spell_check=True)
+    cleaner = Cleaner(config, vocabulary=_vocabulary(spark, folder))
+    return cleaner.transform(documents(spark, folder, EVERYTHING)).select("doc_id", "text")
+
+
 # --- findings and reports ---------------------------------------------------
 
 _SPIKED_WITH_SOURCE = f"SELECT doc_id, {EVERYTHING} AS text, source FROM documents"

@@ -26,8 +26,8 @@ class Cleaner:
     """Cleans a table of texts.
 
     ``vocabulary`` (``term, freq``), ``language_model`` and ``gazetteer``
-    (``term, label``) switch on the steps that need them; a step whose table is
-    missing is left out.  ``extra_steps`` are DataFrame functions run at the end.
+    (``term, label``) are needed by the steps that use them: a step that is on
+    without its table is an error, see ``config.NO_TABLES``.  ``extra_steps`` are DataFrame functions run at the end.
     With ``audit_texts=False`` findings about a whole text hold its SHA-256
     instead of the text, which keeps the findings far smaller than the corpus.
     """
@@ -260,7 +260,10 @@ class Cleaner:
                 lambda text: lengths.truncate_tokens(text, cfg.max_tokens, self.whole_sentences),
             ),
         }
-        chosen = [(name, available[name]) for name in cfg.active() if available[name]]
+        bare = [name for name in cfg.active() if available[name] is None]
+        if bare:
+            raise ValueError(f"steps without their table: {', '.join(bare)}")
+        chosen = [(name, available[name]) for name in cfg.active()]
         return chosen + [(f"extra_{n}", step) for n, step in enumerate(self.extra_steps, 1)]
 
     def transform(self, df: DataFrame) -> DataFrame:

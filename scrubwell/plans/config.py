@@ -5,6 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass, fields
 
 
+# Switches of the default steps that need a table; off for a cleaner without tables.
+NO_TABLES = {"translate_lang": False, "spell_check": False, "replace_entities": False}
+
+
 @dataclass(frozen=True)
 class CleanConfig:
     """Switches of the cleaner.  The order of the fields is the order of the steps."""

@@ -295,6 +295,44 @@ def drop_repeats(source: str) -> str:
     return _rebuilt(source, _DISTINCT_WORDS, _DISTINCT_SENTENCES)
 
 
+def _thinned(name: str, base: str, gap: int) -> str:
+    """CTEs ``name``: lists ``w`` of ``base`` (``doc_id, nth, w``) after all deletion rounds.
+
+    A round marks the places whose value also stands within the ``gap - 1`` places
+    before, and deletes the marked places of the value that begins first.
+    """
+    near = f"list_contains(w[greatest(1, i - {gap - 1}):i - 1], w[i])"
+    marked = f"list_filter(range(1, len(w) + 1), lambda i: {near})"
+    value = "w[list_min(list_transform(m, lambda i: list_position(w, w[i])))]"
+    kept = "list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT (w[i] = v AND list_contains(m, i))), lambda i: w[i])"
+    return f"""{name}_rounds AS (
+      SELECT doc_id, nth, w, {marked} AS m FROM {base}
+      UNION ALL
+      SELECT doc_id, nth, w, {marked} AS m FROM (
+        SELECT doc_id, nth, {kept} AS w FROM (
+          SELECT *, {value} AS v FROM {name}_rounds WHERE len(m) > 0))
+    ), {name} AS (SELECT doc_id, nth, w FROM {name}_rounds WHERE len(m) = 0)"""
+
+
+def drop_repeats_wide(source: str, gap: int) -> str:
+    """Repeats closer than ``gap``: sentences first, then the words of each sentence."""
+    body = "regexp_replace(sentence, '[.?!]$', '')"
+    return f"""
+    WITH RECURSIVE whole AS (
+      SELECT doc_id, 0 AS nth, list_filter({sentence_list('text')}, lambda s: regexp_matches(s, '\\S')) AS w
+      FROM {source}
+    ), {_thinned('fewer', 'whole', gap)},
+    split AS (SELECT doc_id, unnest(w) AS sentence, generate_subscripts(w, 1) AS nth FROM fewer),
+    worded AS (SELECT doc_id, nth, string_split({body}, ' ') AS w FROM split),
+    {_thinned('thin', 'worded', gap)},
+    put AS (
+      SELECT doc_id, string_agg(array_to_string(w, ' ') || regexp_extract(sentence, '[.?!]$'), ' ' ORDER BY nth) AS text
+      FROM thin JOIN split USING (doc_id, nth) GROUP BY doc_id
+    )
+    SELECT doc_id, CASE WHEN {has_code('d.text')} THEN d.text ELSE coalesce(put.text, '') END AS text
+    FROM {source} d LEFT JOIN put USING (doc_id)"""
+
+
 def null_short(minimum: int) -> Step:
     return rewrite(f"CASE WHEN length(text) >= {minimum} THEN text END")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -11,6 +12,9 @@ from pyspark.sql import functions as F
 # Tables below this size may be broadcast.  Spark compares it with the size of
 # the files a table was written to, so the side that is sent out is measured.
 BROADCAST_LIMIT = 32 * 1024 * 1024
+# Session setting: deal the rows of every table a query reads to so many tasks.
+# For tables in few unsplittable files; unset, tables are only read.
+INPUT_TASKS = "spark.scrubwell.inputTasks"
 
 
 def local_session(cpus: str | int = "*", app: str = "scrubwell") -> SparkSession:
@@ -23,6 +27,7 @@ def local_session(cpus: str | int = "*", app: str = "scrubwell") -> SparkSession
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.autoBroadcastJoinThreshold", str(BROADCAST_LIMIT))
+        .config(INPUT_TASKS, str(os.cpu_count() if cpus == "*" else cpus))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .getOrCreate()
@@ -68,8 +73,12 @@ def settle(df: DataFrame, columns: list[str]) -> DataFrame:
 
     The optimizer moves a filter below a projection by copying the projected
     expressions into it; through a long list of text steps the copies multiply
-    at every step.  Filters on what a generator puts out stay above it.
+    at every step.  Filters on what a generator puts out stay above it.  The
+    generator is ``explode`` because the optimizer narrows its structs to the one
+    column that is read: texts alone do not compute their findings.
     """
     rest = [name for name in df.columns if name not in columns]
-    settled = df.select(*rest, F.inline(F.array(F.struct(*columns))))
-    return settled.select(*df.columns)
+    settled = df.select(*rest, F.explode(F.array(F.struct(*columns))).alias("_settled"))
+    return settled.select(
+        *[F.col(f"_settled.{n}").alias(n) if n in columns else F.col(n) for n in df.columns]
+    )

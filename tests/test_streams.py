@@ -3,11 +3,11 @@
 from pyspark.sql import functions as F
 
 from scrubwell.plans.cleaner import Cleaner
-from scrubwell.plans.config import CleanConfig
+from scrubwell.plans.config import NO_TABLES, CleanConfig
 from scrubwell.sources.corpus import CORPUS_SCHEMA
 from scrubwell.streaming import jobs
 
-CONFIG = CleanConfig(replace_ip=True)
+CONFIG = CleanConfig(replace_ip=True, **NO_TABLES)
 
 
 def lines(spark, folder, rows, batch):
@@ -35,6 +35,7 @@ def test_stream_batches_run_the_joining_steps(spark, tmp_path):
     source, out, state = (str(tmp_path / name) for name in ("in", "out", "state"))
     lines(spark, source, [(1, "helo", "en", "s")], None)
     cleaner = Cleaner(
+        CleanConfig(**NO_TABLES | {"spell_check": True}),
         vocabulary=spark.createDataFrame([("hello", 5)], "term string, freq bigint")
     )
     jobs.stream_clean_batches(

@@ -1,6 +1,7 @@
 """Operators that join, group or read and write tables."""
 
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from scrubwell.functions import distance
 from scrubwell.operators import dedupe, entities, findings, language, spelling, tallies
 from scrubwell.plans.cleaner import Cleaner
-from scrubwell.plans.config import CleanConfig
+from scrubwell.plans.config import NO_TABLES, CleanConfig
 from scrubwell.session import scratch_path, scratch_root
 from scrubwell.sources import corpus
 
@@ -146,11 +147,12 @@ def test_tallies(texts):
     assert "Exchange" not in plan
 
 
+PLAIN = CleanConfig(**NO_TABLES)
 MESSY = "<b>Call</b>  +1 (663) 555-6869 or a@b.co  call call: damn 9:30"
 
 
 def test_cleaner_default(texts):
-    cleaned, found = Cleaner().clean(texts(MESSY, "", "plain", None))
+    cleaned, found = Cleaner(PLAIN).clean(texts(MESSY, "", "plain", None))
     rows = cleaned.orderBy("doc_id").collect()
     assert [row.text for row in rows] == [
         "[HTML_REDACTED]Call[HTML_REDACTED] <PHONE> or [EMAIL_REDACTED] call call: "
@@ -169,11 +171,23 @@ def test_cleaner_default(texts):
 
 
 def test_order_of_steps_follows_the_config():
-    names = [name for name, _ in Cleaner(CleanConfig(replace_ip=True, max_tokens=5)).steps()]
-    assert names == [name for name in CleanConfig(replace_ip=True, max_tokens=5).active() if name in names]
+    config = replace(PLAIN, replace_ip=True, max_tokens=5)
+    names = [name for name, _ in Cleaner(config).steps()]
+    assert names == config.active()
     assert "spell_check" not in names and "replace_entities" not in names
 
 
+def test_step_without_its_table_is_an_error(texts):
+    with pytest.raises(ValueError, match="translate_lang, spell_check, replace_entities"):
+        Cleaner().transform(texts("a"))
+
+
+def test_texts_alone_compute_no_findings(texts):
+    alone = Cleaner(PLAIN).transform(texts(MESSY)).select("doc_id", "text")
+    plan = alone._jdf.queryExecution().optimizedPlan().toString()
+    assert "findings" not in plan and "MULTISPACE" not in plan
+
+
 def test_cleaner_with_all_tables(spark, texts):
     train = spark.createDataFrame(
         [("the cat and the hat met in a house", "en"), ("der Hund und die Katze im Haus", "de")],
@@ -197,25 +211,25 @@ def test_cleaner_with_all_tables(spark, texts):
 
 
 def test_digests_instead_of_texts(texts):
-    _, found = Cleaner(audit_texts=False).clean(texts("go go"))
+    _, found = Cleaner(PLAIN, audit_texts=False).clean(texts("go go"))
     assert len(found.filter("tag = 'RM_REPEATS'").first().original) == 64
 
 
 def test_narrow_pipeline_has_one_python_step_and_no_shuffle(texts):
-    plan = Cleaner().transform(texts(MESSY))._jdf.queryExecution().executedPlan().toString()
+    plan = Cleaner(PLAIN).transform(texts(MESSY))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "BatchEvalPython" not in plan
     assert plan.count("ArrowEvalPython") == 1
 
 
 def test_filters_on_cleaned_text_stay_cheap(texts):
-    cleaned = Cleaner().transform(texts(MESSY, "")).filter("text is not null and text like '%Call%'")
+    cleaned = Cleaner(PLAIN).transform(texts(MESSY, "")).filter("text is not null and text like '%Call%'")
     assert cleaned.count() == 1
     assert len(cleaned._jdf.queryExecution().optimizedPlan().toString()) < 200_000
 
 
 def test_findings_count_equals_hits_and_reports_add_up(texts):
     docs = texts("10.0.0.1 and 10.0.0.2", "10.0.0.1", "none").withColumn("source", F.lit("s"))
-    table = Cleaner(CleanConfig(replace_ip=True)).transform(docs)
+    table = Cleaner(replace(PLAIN, replace_ip=True)).transform(docs)
     found = findings.explode_findings(table, ["doc_id"]).filter("tag = 'IPV4'")
     assert sorted((r.doc_id, r.original, r.pos) for r in found.collect()) == [
         (0, "10.0.0.1", 0),
@@ -229,7 +243,7 @@ def test_findings_count_equals_hits_and_reports_add_up(texts):
 
 
 def test_clean_distinct(texts):
-    kept, found = Cleaner().clean_distinct(texts("a@b.co", "c@d.co", "", "x"))
+    kept, found = Cleaner(PLAIN).clean_distinct(texts("a@b.co", "c@d.co", "", "x"))
     assert sorted(r.doc_id for r in kept.collect()) == [0, 3]
     assert {r.doc_id for r in found.collect()} == {0}
 
@@ -304,7 +318,7 @@ def test_tables_without_usable_keys(spark):
 
 def test_distinct_without_keys(spark):
     docs = spark.createDataFrame([(None, "a@b.co"), (None, "c@d.co")], "doc_id bigint, text string")
-    kept, found = Cleaner().clean_distinct(docs)
+    kept, found = Cleaner(PLAIN).clean_distinct(docs)
     assert kept.count() == 1 and found.count() == 1
 
 
@@ -313,7 +327,7 @@ def test_spelling_leaves_identifiers_and_foreign_texts(spark):
     texts = ["mac aa:bb:cc:dd:ee:ff", "1b4e28ba-abad-4aaa-8bad-0123456789ab", "see /etc/hosts", "oh damn it"]
     docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id int, text string, lang_detected string")
     foreign = docs.selectExpr("9 AS doc_id", "'cafe le chat' AS text", "'fr' AS lang_detected").limit(1)
-    cleaner = Cleaner(vocabulary=vocabulary)
+    cleaner = Cleaner(replace(PLAIN, spell_check=True), vocabulary=vocabulary)
     out = {r.doc_id: r.text for r in cleaner.transform(docs.union(foreign)).collect()}
     assert "[MAC_REDACTED]" in out[0] and "[UUID_REDACTED]" in out[1] and "[PATH_REDACTED]" in out[2]
     assert "[PROFANITY_REDACTED]" in out[3] and out[9] == "cafe le chat"

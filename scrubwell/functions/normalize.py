@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scrubwell import rules
-from scrubwell.functions.text import has_code, literal_replacement, matches, replace_matches, strip
+from scrubwell.functions.text import has_code, literal_replacement, replace_matches, strip
 
 
 @F.arrow_udf(T.StringType())
@@ -30,14 +30,18 @@ def strip_html(text: Column, token: str = rules.TOKENS["HTML"]) -> Column:
     return F.regexp_replace(text, rules.HTML_TAG, literal_replacement(token))
 
 
-def collapse_space(text: Column) -> Column:
-    """Runs of whitespace become one space, unless the text holds code."""
-    return F.when(has_code(text), text).otherwise(F.regexp_replace(text, rules.SPACES, " "))
+def _unless_code(text: Column, changed: Column, keep_code: bool) -> Column:
+    return F.when(has_code(text), text).otherwise(changed) if keep_code else changed
 
 
-def strip_control(text: Column) -> Column:
-    """Delete control characters except tab and line ends, unless the text holds code."""
-    return F.when(has_code(text), text).otherwise(F.regexp_replace(text, rules.CONTROL, ""))
+def collapse_space(text: Column, keep_code: bool = True) -> Column:
+    """Runs of whitespace become one space; a text that holds code stays if ``keep_code``."""
+    return _unless_code(text, F.regexp_replace(text, rules.SPACES, " "), keep_code)
+
+
+def strip_control(text: Column, keep_code: bool = True) -> Column:
+    """Delete control characters except tab and line ends; ``keep_code`` as above."""
+    return _unless_code(text, F.regexp_replace(text, rules.CONTROL, ""), keep_code)
 
 
 def strip_nonprintable(text: Column) -> Column:
@@ -68,12 +72,8 @@ def _redecode(span: Column) -> Column:
     return F.coalesce(F.try_validate_utf8(one_byte.cast("string")), span)
 
 
-def repair_mojibake(text: Column) -> Column:
-    """Undo UTF-8 that was decoded as windows-1252, unless the text holds code."""
-    broken = text.rlike(rules.MOJIBAKE_SPAN) & ~has_code(text)
+def repair_mojibake(text: Column, keep_code: bool = True) -> Column:
+    """Undo UTF-8 that was decoded as windows-1252; ``keep_code`` as above."""
     repaired = replace_matches(text, rules.MOJIBAKE_SPAN, _redecode)
-    return F.when(broken, repaired).otherwise(text)
-
-
-def whitespace_runs(text: Column) -> Column:
-    return matches(text, rules.SPACES)
+    fixed = F.when(text.rlike(rules.MOJIBAKE_SPAN), repaired).otherwise(text)
+    return _unless_code(text, fixed, keep_code)

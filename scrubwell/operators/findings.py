@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scrubwell.functions.text import let
+
 TYPE = "array<struct<step:string,tag:string,original:string,replacement:string,pos:int>>"
 
 
@@ -22,32 +24,50 @@ def explode_findings(cleaned: DataFrame, keys: list[str], findings: str = "findi
 
 
 def audit_by_document(cleaned: DataFrame, keys: list[str], findings: str = "findings") -> DataFrame:
-    """Per text a map ``tag:replacement`` to the originals, built in the row."""
+    """Per text a map ``tag:replacement`` to the originals, built in the row.
+
+    The findings are sorted by label and place once and cut where the label changes.
+    """
 
     def label(found: Column) -> Column:
         return F.concat(found["tag"], F.lit(":"), F.coalesce(found["replacement"], F.lit("None")))
 
-    found = F.col(findings)
-    entries = F.transform(
-        F.array_distinct(F.transform(found, label)),
-        lambda name: F.struct(
-            name.alias("key"), F.filter(found, lambda item: label(item) == name).alias("group")
-        ),
-    )
-    audit = F.map_from_entries(
-        F.transform(
-            entries,
-            lambda entry: F.struct(
-                entry["key"].alias("key"),
-                F.struct(
-                    F.get(entry["group"], F.lit(0))["tag"].alias("tag"),
-                    F.get(entry["group"], F.lit(0))["replacement"].alias("replacement"),
-                    F.transform(entry["group"], lambda item: item["original"]).alias("originals"),
-                ).alias("value"),
+    def labelled(item: Column, place: Column) -> Column:
+        return F.struct(
+            label(item).alias("label"),
+            place.alias("place"),
+            item["tag"].alias("tag"),
+            item["replacement"].alias("replacement"),
+            item["original"].alias("original"),
+        )
+
+    def runs(items: Column) -> Column:
+        begins = F.filter(
+            F.transform(
+                items,
+                lambda item, at: F.when(
+                    (at == 0) | (item["label"] != F.get(items, at - 1)["label"]), at
+                ),
             ),
+            lambda at: at.isNotNull(),
         )
-    )
-    return cleaned.select(*keys, audit.alias("audit"))
+        return let(begins, lambda starts: F.transform(starts, lambda at, n: run(items, starts, at, n)))
+
+    def run(items: Column, starts: Column, at: Column, n: Column) -> Column:
+        end = F.coalesce(F.get(starts, n + 1), F.size(items))
+        first = F.get(items, at)
+        originals = F.transform(F.slice(items, at + 1, end - at), lambda item: item["original"])
+        return F.struct(
+            first["label"].alias("key"),
+            F.struct(
+                first["tag"].alias("tag"),
+                first["replacement"].alias("replacement"),
+                originals.alias("originals"),
+            ).alias("value"),
+        )
+
+    in_order = F.array_sort(F.transform(F.col(findings), labelled))
+    return cleaned.select(*keys, F.map_from_entries(let(in_order, runs)).alias("audit"))
 
 
 def audit_by_key(findings: DataFrame) -> DataFrame:

@@ -482,6 +482,23 @@ def clean_corpus(spark: SparkSession, folder: str) -> DataFrame:
     return Cleaner(CleanConfig(**NO_TABLES)).transform(docs).select("doc_id", "text")
 
 
+@register(
+    "clean_inside_code",
+    sql.chain(
+        documents_sql(SPIKES["code"]),
+        sql.substitute(sql.SPACE + "+", " "),
+        sql.trim_text,
+        final="SELECT doc_id, text FROM {last}",
+    ),
+)
+def clean_inside_code(spark: SparkSession, folder: str) -> DataFrame:
+    """White space goes in texts that hold code too."""
+    steps = dict.fromkeys(CleanConfig(**_OFF).active(), False)
+    config = CleanConfig(**_OFF | steps | {"collapse_whitespace": True, "remove_lead_trail": True})
+    cleaner = Cleaner(config, keep_code=False)
+    return cleaner.transform(documents(spark, folder, SPIKES["code"])).select("doc_id", "text")
+
+
 # --- predicates -------------------------------------------------------------
 
 _CANDIDATES = {
@@ -1118,15 +1135,20 @@ _CONFIG_SQL = sql.lit(json.dumps(asdict(REDACTION_ONLY)))
     "report_by_run",
     sql.findings(
         _SPIKED_WITH_SOURCE,
-        f"SELECT {_CONFIG_SQL} AS config, tag, count(*) AS changes, "
+        f"SELECT {_CONFIG_SQL} AS config, true AS named, true AS in_time, tag, count(*) AS changes, "
         "count(DISTINCT doc_id) AS texts FROM {found} GROUP BY tag",
     ),
 )
 def report_by_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Who, where and when differ from run to run: they are there, and not before this call."""
+    called = spark.range(1).select(F.current_timestamp()).first()[0].timestamp()
     run = corpus.run_header(spark, REDACTION_ONLY)
     report = findings.report_by_run(_cleaned(spark, folder), run)
-    # Who, where and when differ from run to run.
-    return report.select("config", "tag", "changes", "texts")
+    named = (F.length("run_user") > 0) & (F.length("platform") > 0)
+    in_time = F.unix_micros("started") >= round(called * 1e6)
+    return report.select(
+        "config", named.alias("named"), in_time.alias("in_time"), "tag", "changes", "texts"
+    )
 
 
 # --- distinct texts ---------------------------------------------------------

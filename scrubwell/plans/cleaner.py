@@ -20,6 +20,7 @@ from scrubwell.plans.config import CleanConfig
 from scrubwell.session import settle, stage
 
 Step = Callable[[DataFrame], DataFrame]
+TABLE_STEPS = ("translate_lang", "spell_check", "replace_entities")
 
 
 class Cleaner:
@@ -28,6 +29,8 @@ class Cleaner:
     ``vocabulary`` (``term, freq``), ``language_model`` and ``gazetteer``
     (``term, label``) are needed by the steps that use them: a step that is on
     without its table is an error, see ``config.NO_TABLES``.  ``extra_steps`` are DataFrame functions run at the end.
+    With ``keep_code=False`` white space, control characters and mis-decoded
+    characters are cleaned in texts that hold code too.
     With ``audit_texts=False`` findings about a whole text hold its SHA-256
     instead of the text, which keeps the findings far smaller than the corpus.
     """
@@ -43,6 +46,7 @@ class Cleaner:
         hmac_key: str | None = None,
         gate: str = "none",
         whole_sentences: bool = True,
+        keep_code: bool = True,
         vocabulary: DataFrame | None = None,
         language_model: language.LanguageModel | None = None,
         gazetteer: DataFrame | None = None,
@@ -57,6 +61,7 @@ class Cleaner:
         self.hmac_key = hmac_key
         self.gate = gate
         self.whole_sentences = whole_sentences
+        self.keep_code = keep_code
         self.vocabulary = vocabulary
         self.language_model = language_model
         self.gazetteer = gazetteer
@@ -200,10 +205,16 @@ class Cleaner:
             "remove_lang": self._blank if self.language_model else None,
             "remove_html_tags": self._redaction("remove_html_tags", redact.html(tokens)),
             "collapse_whitespace": self._rewrite(
-                "collapse_whitespace", "MULTISPACE", normalize.collapse_space, rules.SPACES
+                "collapse_whitespace",
+                "MULTISPACE",
+                lambda text: normalize.collapse_space(text, self.keep_code),
+                rules.SPACES,
             ),
             "remove_control_chars": self._rewrite(
-                "remove_control_chars", "CONTROL", normalize.strip_control, rules.CONTROL
+                "remove_control_chars",
+                "CONTROL",
+                lambda text: normalize.strip_control(text, self.keep_code),
+                rules.CONTROL,
             ),
             "remove_nonprintable": self._rewrite(
                 "remove_nonprintable", "STRIP_NONPRINTABLE", normalize.strip_nonprintable
@@ -218,7 +229,11 @@ class Cleaner:
                 "remove_lead_trail", "STRIP_LEAD_TRAIL", normalize.trim_text
             ),
             "remove_code": self._redaction("remove_code", redact.code(tokens)),
-            "fix_mojibake": self._rewrite("fix_mojibake", "MOJI_FIX", normalize.repair_mojibake),
+            "fix_mojibake": self._rewrite(
+                "fix_mojibake",
+                "MOJI_FIX",
+                lambda text: normalize.repair_mojibake(text, self.keep_code),
+            ),
             "spell_check": self._spell if self.vocabulary is not None else None,
             "replace_entities": self._names if self.gazetteer is not None else None,
             "replace_profanity": self._redaction(
@@ -276,7 +291,7 @@ class Cleaner:
         df = df.withColumn("findings", findings.no_findings())
         computed, joined = [self.text, "findings"], False
         for name, step in self.steps():
-            joins = name in ("translate_lang", "spell_check", "replace_entities") or (
+            joins = name in TABLE_STEPS or (
                 name == "remove_lang" and "needs_translation" not in df.columns
             )
             if joins and (joined or name in ("spell_check", "replace_entities")):

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from scrubwell.plans.cleaner import Cleaner
+from scrubwell.plans.cleaner import TABLE_STEPS, Cleaner
 from scrubwell.sources.corpus import CORPUS_SCHEMA
 
 SALTS = 32
@@ -30,8 +28,7 @@ def read_stream(
     )
 
 
-def _start(writer, name: str | None, available_now: bool):
-    writer = writer.queryName(name) if name else writer
+def _start(writer, available_now: bool):
     return writer.trigger(availableNow=True) if available_now else writer
 
 
@@ -46,15 +43,18 @@ def stream_clean(
     """Clean rows as they arrive; the steps keep no state.
 
     A cleaner with language, spelling or name steps aggregates over its input
-    and runs batch by batch through :func:`stream_clean_batches`.
+    and runs batch by batch through :func:`stream_clean_batches`; here it is refused.
     """
+    joining = {*TABLE_STEPS, "remove_lang"}.intersection(name for name, _ in cleaner.steps())
+    if joining:
+        raise ValueError(f"use stream_clean_batches for {', '.join(sorted(joining))}")
     writer = (
         cleaner.transform(stream)
         .writeStream.format(format)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
     )
-    return _start(writer, None, available_now).start(path)
+    return _start(writer, available_now).start(path)
 
 
 def stream_clean_batches(
@@ -76,7 +76,7 @@ def stream_clean_batches(
         cleaner.transform(batch).write.mode("overwrite").format(format).save(target)
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-    return _start(writer, None, available_now).start()
+    return _start(writer, available_now).start()
 
 
 def dedupe_stream(
@@ -121,8 +121,6 @@ def write_stream(
     checkpoint: str,
     format: str = "parquet",
     available_now: bool = True,
-    prepare: Callable | None = None,
 ) -> StreamingQuery:
     writer = frame.writeStream.format(format).option("checkpointLocation", checkpoint)
-    writer = prepare(writer) if prepare else writer
-    return _start(writer.outputMode("append"), None, available_now).start(path)
+    return _start(writer.outputMode("append"), available_now).start(path)

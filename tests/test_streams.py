@@ -1,5 +1,6 @@
 """Streams give what the batch jobs give."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from scrubwell.plans.cleaner import Cleaner
@@ -42,6 +43,8 @@ def test_stream_batches_run_the_joining_steps(spark, tmp_path):
         jobs.read_stream(spark, source), cleaner, out, state
     ).awaitTermination()
     assert [row.text for row in spark.read.parquet(out).collect()] == ["hello"]
+    with pytest.raises(ValueError, match="spell_check"):
+        jobs.stream_clean(jobs.read_stream(spark, source), cleaner, out, state)
 
 
 def test_stream_dedupe_with_a_hot_text(spark, tmp_path):

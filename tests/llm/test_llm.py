@@ -289,6 +289,10 @@ def test_toxicity_table(spark, hard, nothing):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
     assert all(r.predicted == int(r.doc_id % 5 == 0) for r in rows)
     assert toxicity.drop_toxic(docs, labels).count() == 320
+    # a key that many rows share counts once, so the driver gets one row per chosen key
+    crowd = docs.union(docs.filter("doc_id = 1").crossJoin(spark.range(50)).drop("id"))
+    again = {r.doc_id: r.score for r in toxicity.toxicity(crowd, labels).collect()}
+    assert again == {r.doc_id: r.score for r in rows}
     none = labels.limit(0)
     assert {r.score for r in toxicity.toxicity(hard, none).collect()} == {0.5}
     assert toxicity.toxicity(nothing, none).count() == 0

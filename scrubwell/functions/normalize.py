@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,12 +15,14 @@ from scrubwell.functions.text import has_code, literal_replacement, replace_matc
 
 @F.arrow_udf(T.StringType())
 def _nfc(texts: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(texts, form="NFC")
+    forms = (t if t is None else unicodedata.normalize("NFC", t) for t in texts.to_pylist())
+    return pa.array(forms, pa.string())
 
 
 def normalize_nfc(text: Column) -> Column:
     """NFC form.  Spark has no built-in for it, so this is an Arrow function.
 
+    Arrow's own kernel is not used: its NFC form leaves marks uncomposed.
     Only texts holding a character that NFC may change are sent to Python; for
     all others the function sees NULL and the text stays in the JVM.
     """

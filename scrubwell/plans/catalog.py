@@ -118,7 +118,7 @@ SPIKES = {
     "control": "concat(chr(1), text, chr(7), 'x', chr(133), chr(127))",
     "hidden": "concat(text, chr(173), 'x', chr(160), 'y')",
     "runs": f"concat('aaaaaaa ', text, ' bbbbb----- ', {_ID}, '1111111')",
-    "marks": "replace(replace(replace(text, 'é', 'é'), 'ü', 'ü'), 'ñ', 'ñ')",
+    "marks": "replace(replace(replace(text, '\u00e9', 'e\u0301'), '\u00fc', 'u\u0308'), '\u00f1', 'n\u0303')",
     "repeats": "concat('the the cat. Go. Go. ', text, ' so so')",
 }
 EVERYTHING = (

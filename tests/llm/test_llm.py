@@ -21,6 +21,7 @@ from scrubwell.llm import (
     exact_dedup,
     html_extract,
     line_dedup,
+    near_copies,
     pii,
     queries,
     sharding,
@@ -123,6 +124,58 @@ def test_near_duplicates(hard, nothing):
     assert {r.doc_id for r in kept.collect()} == set(want.values()) | {None}
 
 
+@pytest.mark.parametrize("crowded", [1, 64])
+def test_near_copies_against_all_pairs(spark, hard, nothing, crowded):
+    draw = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    texts = [None, "", "  ", "one two", "One  two", "one two three"]
+    for size in (8, 30, 60, 120, 400):
+        for _ in range(4):
+            base = draw.choices(vocabulary, k=size)
+            for changed in (0, 1, 1, 2, 3, 5):
+                copy = list(base)
+                for _ in range(changed):
+                    copy[draw.randrange(size)] = draw.choice(vocabulary)
+                texts.append(" ".join(copy))
+    notice = " ".join(draw.choices(vocabulary, k=40))
+    texts += [notice + " " + " ".join(draw.choices(vocabulary, k=k)) for k in (2, 3, 9, 40) for _ in range(8)]
+
+    def cut(text):
+        words = (text or "").lower().split()
+        width = min(5, len(words))
+        return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)} if words else set()
+
+    sets = [cut(text) for text in texts]
+    root, pairs = list(range(len(texts))), 0
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        a, b = sets[i], sets[j]
+        if 5 * len(a & b) >= 4 * len(a | b):
+            pairs += a != b
+            low, high = sorted((root[i], root[j]))
+            root = [low if r == high else r for r in root]
+    assert pairs > 50
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = near_copies.near_copies(table, crowded=crowded).collect()
+    assert {r.doc_id: r.component_id for r in found} == dict(enumerate(root)) and len(found) == len(texts)
+    if crowded > 1:
+        kept = near_copies.one_of_each(hard)
+        assert kept.columns == hard.columns and kept.filter("doc_id is null").count() == 2
+        assert near_copies.one_of_each(nothing).count() == 0
+
+
+def test_pipeline_drops_copies_with_one_word_replaced(spark):
+    import corpus_pipeline
+
+    draw = random.Random(13)
+    texts = []
+    for _ in range(40):
+        words = [f"v{draw.randrange(5000)}" for _ in range(90)]
+        texts += [" ".join(words), " ".join(words[:45] + ["changed"] + words[46:])]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    kept = corpus_pipeline.drop_near_copies(spark, table, FOLDER)
+    assert {r.doc_id for r in kept.collect()} == set(range(0, 80, 2))
+
+
 def test_components(spark):
     draw = random.Random(5)
     edges = [(draw.randrange(300), draw.randrange(300)) for _ in range(220)]

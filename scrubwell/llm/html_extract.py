@@ -3,7 +3,7 @@
 Every page scores its containers by the text they hold and names the best by its
 generalised path of tags and classes.  The pages of a host vote, and the text is
 taken from the winning path again, or from a page's own best container where the
-host's path has little of its text.
+host's path lacks any of its text.  Either is widened to the article around it.
 """
 
 from __future__ import annotations
@@ -54,7 +54,7 @@ CLOSES = {
 }
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 DECAY = 0.9  # of a container's score, per level up
-LEAST_SHARE = 0.25  # of a page's own best text that the host's path must hold
+ARTICLES = frozenset(("article", "main"))
 
 _TAG = re.compile(
     r"""<(/?)([a-zA-Z][^\s/>]*)([^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+)>"""
@@ -67,21 +67,27 @@ _DIGITS = re.compile(r"\d+")
 
 @dataclass
 class Page:
-    """Containers (``parents``, ``paths``, two kinds of junk marks) and the blocks of text in order.
+    """Containers (``parents``, ``paths``, tags, marks) and the blocks of text in order.
 
-    A block is (container, text, link characters).  Container 0 is the page.
+    A block is (container, text, link characters, whether a heading).  Container 0 is
+    the page.  ``surely`` and ``named`` mark junk, ``hinted`` containers have an id that
+    may speak of junk, ``forms`` hold parts of forms.
     """
 
     parents: list[int] = field(default_factory=lambda: [0])
     paths: list[str] = field(default_factory=lambda: [""])
     surely: list[bool] = field(default_factory=lambda: [False])
     named: list[bool] = field(default_factory=lambda: [False])
-    blocks: list[tuple[int, str, int]] = field(default_factory=list)
+    hinted: list[bool] = field(default_factory=lambda: [False])
+    forms: list[bool] = field(default_factory=lambda: [False])
+    tags: list[str] = field(default_factory=lambda: [""])
+    in_article: list[bool] = field(default_factory=lambda: [False])
+    blocks: list[tuple[int, str, int, bool]] = field(default_factory=list)
 
 
-def _marks(attributes: str) -> tuple[str, bool, bool]:
-    """The generalised class or id, and whether the element is surely junk, and whether its names speak of it."""
-    label, surely, named = "", False, False
+def _marks(attributes: str) -> tuple[str, bool, bool, bool]:
+    """The generalised class or id, whether the element is surely junk, and whether its class or its id speaks of it."""
+    label, surely, named, hinted = "", False, False, False
     for name, value, hidden in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if hidden or (name == "aria-hidden" and value == "true"):
@@ -92,11 +98,12 @@ def _marks(attributes: str) -> tuple[str, bool, bool]:
             surely = surely or "display:none" in value.replace(" ", "").lower()
         elif name in ("class", "id"):
             parts = {part.lower() for part in _NAME_PARTS.findall(value)}
-            named = named or not parts.isdisjoint(JUNK_NAMES)
+            speaks = not JUNK_NAMES.isdisjoint(parts.union(value.lower().split()))
+            named = named or speaks
             surely = surely or not JUNK_NAMES.isdisjoint(value.lower().split())
             if name == "class" or not label:
                 label = _DIGITS.sub("", ".".join(sorted(value.split())))
-    return label, surely, named
+    return label, surely, named, hinted
 
 
 class _Parser:
@@ -112,16 +119,21 @@ class _Parser:
             text = " ".join(html.unescape("".join(self.text)).split())
             if text:
                 container = self.stack[-1][1] if self.stack else 0
-                self.page.blocks.append((container, text, self.link_size))
+                heading = not HEADINGS.isdisjoint(self.open)
+                self.page.blocks.append((container, text, self.link_size, heading))
             self.text, self.link_size = [], 0
 
     def _push(self, tag: str, attributes: str) -> None:
         page, around = self.page, self.stack[-1][1] if self.stack else 0
-        label, surely, named = _marks(attributes) if attributes else ("", False, False)
+        label, surely, named, hinted = _marks(attributes) if attributes else ("", False, False, False)
+        if tag == "p" or tag in HEADINGS:
+            hinted = False
+        if tag == "form":
+            page.forms[around] = True
         in_article = tag == "header" and "article" in self.open
         surely = surely or (tag in JUNK_TAGS and not in_article)
         inside = around
-        if tag in CONTAINERS or surely or named or in_article:
+        if tag in CONTAINERS or surely or named or hinted or in_article:
             path = f"{page.paths[around]}/{tag}.{label}" if label else f"{page.paths[around]}/{tag}"
             if len(path) > 200:
                 path = "#" + xxhash.xxh64_hexdigest(path)
@@ -130,6 +142,10 @@ class _Parser:
             page.paths.append(path)
             page.surely.append(surely)
             page.named.append(named or in_article)
+            page.hinted.append(hinted)
+            page.forms.append(False)
+            page.tags.append(tag)
+            page.in_article.append(page.tags[around] in ARTICLES or page.in_article[around])
         self.stack.append((tag, inside))
         self.open[tag] = self.open.get(tag, 0) + 1
 
@@ -159,6 +175,8 @@ class _Parser:
                     self._pop_to(found)
         elif tag == "br":
             self.text.append(" ")
+        if tag == "input":
+            self.page.forms[self.stack[-1][1] if self.stack else 0] = True
         if tag not in VOID and tag not in ("html", "head", "body"):
             self._push(tag, attributes)
 
@@ -227,21 +245,29 @@ def score(page: Page) -> Scored:
     """Mark junk and score every container by the text inside, less what is links.
 
     A container that only its names call junk keeps its text if it holds most of the page.
+    An id counts only beside links, a form, or a place outside the page's article.
     """
     count = len(page.parents)
-    total, own = [0] * count, [0.0] * count
-    for container, text, _ in page.blocks:
+    total, links, own = [0] * count, [0] * count, [0.0] * count
+    forms, holds = list(page.forms), [tag in ARTICLES for tag in page.tags]
+    for container, text, linked, _ in page.blocks:
         total[container] += len(text)
+        links[container] += linked
     for node in range(count - 1, 0, -1):
+        forms[page.parents[node]] |= forms[node]
+        holds[page.parents[node]] |= holds[node]
         if not page.surely[node]:
             total[page.parents[node]] += total[node]
+            links[page.parents[node]] += links[node]
     junk = [False] * count
     for node in range(1, count):
-        named = page.named[node] and 2 * total[node] <= total[0]
+        outside = holds[0] and not (holds[node] or page.in_article[node])
+        hinted = page.hinted[node] and (outside or forms[node] or 2 * links[node] >= total[node])
+        named = (page.named[node] or hinted) and 2 * total[node] <= total[0]
         junk[node] = junk[page.parents[node]] or page.surely[node] or named
-    for container, text, links in page.blocks:
+    for container, text, linked, _ in page.blocks:
         if not junk[container]:
-            own[container] += len(text) - 2 * links
+            own[container] += len(text) - 2 * linked
     for node in range(count - 1, 0, -1):
         own[page.parents[node]] += DECAY * own[node]
     return Scored(junk, [-1.0 if bad else value for bad, value in zip(junk, own)])
@@ -253,24 +279,51 @@ def best_path(source: str) -> str:
     return page.paths[score(page).best()]
 
 
-def _inside(page: Page, junk: list[bool], roots: set[int]) -> list[str]:
-    inside = [False] * len(page.parents)
-    for node in range(len(inside)):
-        inside[node] = node in roots or (node > 0 and inside[page.parents[node]])
-    return [text for container, text, _ in page.blocks if inside[container] and not junk[container]]
+def _widen(page: Page, node: int) -> int:
+    """The nearest article or main around a container, or else the page."""
+    at = node
+    while at and page.tags[at] not in ARTICLES:
+        at = page.parents[at]
+    return at
+
+
+def _inside(page: Page, junk: list[bool], cores: set[int]) -> list[int]:
+    """Numbers of the blocks in the containers and in the articles around them.
+
+    What stands beside a container is left out if it is mostly links and no
+    heading, or, where no article is marked, if its id speaks of junk.
+    """
+    wide = {_widen(page, node) for node in cores}
+    count = len(page.parents)
+    core, near, doubted = [False] * count, [False] * count, [False] * count
+    holds = [node in cores for node in range(count)]
+    for node in range(count - 1, 0, -1):
+        holds[page.parents[node]] |= holds[node]
+    for node in range(count):
+        up = page.parents[node]
+        core[node] = node in cores or (node > 0 and core[up])
+        near[node] = node in wide or (node > 0 and near[up])
+        hinted = page.hinted[node] and not page.in_article[node] and not holds[node]
+        doubted[node] = hinted or (node > 0 and doubted[up])
+    return [
+        number
+        for number, (at, text, links, heading) in enumerate(page.blocks)
+        if not junk[at]
+        and (core[at] or (near[at] and not doubted[at] and (heading or 2 * links < len(text))))
+    ]
 
 
 def extract(source: str, path: str | None) -> str:
-    """The blocks of text inside the containers of a path, joined by newlines."""
+    """The blocks of text around the containers of a path, joined by newlines."""
     page = parse(source)
     scored = score(page)
-    own = _inside(page, scored.junk, {scored.best()})
-    if path is None:
-        return "\n".join(own)
+    chosen = _inside(page, scored.junk, {scored.best()})
     roots = {node for node, found in enumerate(page.paths) if found == path}
-    agreed = _inside(page, scored.junk, roots)
-    enough = sum(map(len, agreed)) >= LEAST_SHARE * sum(map(len, own))
-    return "\n".join(agreed if enough and agreed else own)
+    if roots:
+        agreed = _inside(page, scored.junk, roots)
+        if set(chosen) <= set(agreed):
+            chosen = agreed
+    return "\n".join(page.blocks[number][1] for number in chosen)
 
 
 def host_paths(pages: DataFrame, url: str = "url", source: str = "html") -> DataFrame:

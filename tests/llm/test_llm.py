@@ -454,6 +454,24 @@ def test_html(spark):
         html_extract.extract(source, "/div")
 
 
+def test_html_text_beside_the_body():
+    long = "".join(f"<p>paragraph {i} of a long article body</p>" for i in range(60))
+    body = "<article><h1>Title</h1><p>lead text</p><div class=body>{}</div><section>end note</section></article>"
+    page = f"<div class=side>beside</div>{body.format(long)}<footer>f</footer>"
+    path = html_extract.best_path(page)
+    for lines in (html_extract.extract(page, p).split("\n") for p in (path, None, "/main")):
+        assert lines[:2] == ["Title", "lead text"] and lines[-1] == "end note" and len(lines) == 63
+    plain = f"<div class=wrap><h1><a href=x>Title</a></h1><div class=body>{long}</div><div><a href=y>more links</a></div></div>"
+    lines = html_extract.extract(plain, html_extract.best_path(plain)).split("\n")
+    assert lines[0] == "Title" and len(lines) == 61
+    # the path that the host voted for holds a part of this page's text only
+    mixed = f"<div class=post>{long[:900]}</div><div class=rest>{long}</div>"
+    rest = html_extract.extract(mixed, "/div.post").split("\n")
+    assert sum("paragraph 59" in line for line in rest) == 1
+    other = f"<main><div class=post>{long[:900]}</div><div class=rest>{long}</div></main>"
+    assert "paragraph 59" in html_extract.extract(other, "/main/div.post")
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 def test_pipeline(spark):
     import corpus_pipeline

@@ -28,7 +28,7 @@ BLOCKS = CONTAINERS | frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset(
-    "audio canvas iframe math noembed noframes noscript object script select style svg template "
+    "audio canvas iframe noembed noframes noscript object script select style svg template "
     "textarea title video".split()
 )
 JUNK_TAGS = frozenset("aside button dialog footer form header menu nav search".split())
@@ -36,11 +36,11 @@ JUNK_ROLES = frozenset(
     "alert banner complementary contentinfo dialog form menu navigation search".split()
 )
 JUNK_NAMES = frozenset(
-    "ad ads adbox adslot advert advertisement adverts banner breadcrumb breadcrumbs byline comment "
+    "ad ads adbox adslot advert advertisement adverts banner breadcrumb breadcrumbs comment "
     "comments consent cookie cookies discussion disqus footer gdpr header login menu modal nav "
     "navbar navigation newsletter notice notices notification pager pagination paywall popup promo "
     "promoted promotion related replies respond responses search share sharing sidebar signup "
-    "skip social sponsor sponsored subscribe tags toolbar topbar widget widgets".split()
+    "skip social sponsor sponsored subscribe toolbar topbar widget widgets".split()
 )
 # A start tag closes open elements of these kinds, up to the nearest of the second kind.
 CLOSES = {
@@ -99,8 +99,8 @@ def _marks(attributes: str) -> tuple[str, bool, bool, bool]:
         elif name in ("class", "id"):
             parts = {part.lower() for part in _NAME_PARTS.findall(value)}
             speaks = not JUNK_NAMES.isdisjoint(parts.union(value.lower().split()))
-            named = named or speaks
-            surely = surely or not JUNK_NAMES.isdisjoint(value.lower().split())
+            named = named or (speaks and name == "class")
+            hinted = hinted or (speaks and name == "id")
             if name == "class" or not label:
                 label = _DIGITS.sub("", ".".join(sorted(value.split())))
     return label, surely, named, hinted

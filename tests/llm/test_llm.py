@@ -472,6 +472,23 @@ def test_html_text_beside_the_body():
     assert "paragraph 59" in html_extract.extract(other, "/main/div.post")
 
 
+def test_html_names_that_articles_use():
+    text = "".join(f"<p>sentence {i} of the paper</p>" for i in range(20))
+    parts = "<h2 id=search>Search</h2><h2 id=related-work>Related work</h2><h2 id=comment-syntax>Syntax</h2>"
+    paper = f"<h1>Paper</h1>{parts}{text}<section id=discussion><p>we discuss this</p></section>"
+    want = ["Search", "Related work", "Syntax", "we discuss this"]
+    for page in (f"<article>{paper}</article>", f"<main id=search><article>{paper}</article></main>"):
+        page += "<div id=comments><p>a remark of a reader</p></div>"
+        lines = html_extract.extract(page, html_extract.best_path(page)).split("\n")
+        assert set(want) <= set(lines) and "a remark of a reader" not in lines and lines[0] == "Paper"
+    inside = f"<article>{paper}<div id=related><a href=x>other text</a></div><div id=comments><form>say</form>x</div></article>"
+    lines = html_extract.extract(inside, None).split("\n")
+    assert set(want) <= set(lines) and not {"other text", "x", "say"} & set(lines)
+    assert "sentence 19" in html_extract.extract(f"<div class=discussion>{text}</div><p>short", None)
+    kept = html_extract.extract("<article><p class=byline>By A</p><p>so <math><mi>x</mi></math> holds", None)
+    assert kept == "By A\nso x holds"
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 def test_pipeline(spark):
     import corpus_pipeline

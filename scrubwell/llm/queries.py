@@ -14,6 +14,7 @@ from scrubwell.llm import (
     exact_dedup,
     html_extract,
     line_dedup,
+    periodic_runs,
     pii,
     sharding,
     simhash,
@@ -113,6 +114,41 @@ def op10_html_extract(spark: SparkSession, folder: str) -> DataFrame:
     return html_extract.main_text(read_table(spark, folder, "pages"))
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: every tenth document by checksum gets a periodic tail, as the query fixes."""
+    words = "filter(split(text, '[ \\\\x09-\\\\x0D]+'), w -> w <> '')"
+    tail = F.expr(
+        f"""element_at(transform(array(struct({words} AS w, crc32(cast(doc_id AS string)) div 10 AS g)),
+          o -> element_at(transform(array(named_struct('w', o.w, 'g', o.g, 'n', size(o.w), 'a', o.g % size(o.w))),
+            x -> array_join(transform(x.w, (word, i) -> if(i < x.a, word,
+              x.w[int(x.a + (i - x.a) % (1 + (x.n - x.a) div (3 + x.g % 8)))])), ' ')), 1)), 1)"""
+    )
+    planted = (F.crc32(F.col("doc_id").cast("string")) % 10 == 0) & F.col("text").rlike(
+        "[^ \\x09-\\x0D]"
+    )
+    return docs.select("doc_id", F.when(planted, tail).otherwise(F.col("text")).alias("text"))
+
+
+@register
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = with_planted_periods(read_table(spark, folder, "documents"))
+    longest = F.expr(
+        "array_max(transform(runs, r -> struct(r.length AS length, -r.start AS place, -r.period AS p)))"
+    )
+    listed = "array_join(transform(runs, r -> concat_ws(',', r.start, r.length, r.period) || '\n'), '')"
+    found = periodic_runs.periodic_runs(docs).withColumn("top", longest)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.expr("-top.place").alias("start"),
+        F.col("top.length").alias("length"),
+        F.expr("-top.p").alias("period"),
+        F.expr("1000 * top.length div -top.p").alias("exponent_milli"),
+        F.sha2(F.expr(listed).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 # --- SQL ----------------------------------------------------------------------
 _UPPER, _LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scrubwell.llm import (
+    binary_records,
     byte_bpe,
     decontaminate,
     exact_dedup,
@@ -21,12 +22,14 @@ from scrubwell.llm import (
     toxicity,
     url_filter,
 )
+from scrubwell.session import scratch_path
 from scrubwell.sources.corpus import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 SHARDS = 40
+END_ID = 2  # closes every document of the binary files
 # (verdict, host, path)
 URL_RULES = (
     ("allow", "com", "/"),
@@ -149,6 +152,16 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@register
+def op12_binary_records(spark: SparkSession, folder: str) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as lines:
+        tokenizer = lines.read()
+    files = scratch_path(spark, "records")
+    binary_records.write_records(read_table(spark, folder, "documents"), files, tokenizer, END_ID)
+    told = binary_records.read_records(spark, files)
+    return told.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 # --- SQL ----------------------------------------------------------------------
 _UPPER, _LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from scrubwell.llm import (
     binary_records,
     byte_bpe,
+    collocations,
     decontaminate,
     exact_dedup,
     html_extract,
@@ -162,6 +163,11 @@ def op12_binary_records(spark: SparkSession, folder: str) -> DataFrame:
     return told.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@register
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, folder, "documents"))
+
+
 # --- SQL ----------------------------------------------------------------------
 _UPPER, _LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -281,3 +287,43 @@ FROM placed
 
 
 ORACLES["op2_sharding"] = _shard_sql()
+
+_PIECES = r"string_split_regex(" + lower_sql("coalesce(text, '')") + r", '[.,;:!?\x0A-\x0D]')"
+ORACLES["op13_collocations"] = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    regexp_extract_all(unnest({_PIECES}), '[^\x20\x09]+') AS w
+  FROM documents
+), totals AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM pieces GROUP BY lang),
+f AS (
+  SELECT lang, phrase, k, count(*)::HUGEINT AS many FROM (
+    SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase FROM (
+      SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, range(1, 6) r(k)
+      WHERE len(w) >= k
+    )
+  ) GROUP BY ALL HAVING count(*) >= 100
+), c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cuts AS (
+  SELECT c.lang, c.phrase, c.many AS a, x.many AS l, y.many AS r, n, cut,
+    (1000 * c.many * n) // (x.many * y.many) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(list_slice(c.w, 1, cut), ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(list_slice(c.w, cut + 1, c.k), ' ')
+  JOIN totals ON totals.lang = c.lang
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), parts AS (
+  SELECT lang, many, array_to_string(list_slice(w, s, s + size - 1), ' ') AS phrase FROM (
+    SELECT *, unnest(range(1, k - size + 2)) AS s
+    FROM (SELECT *, unnest(range(2, k)) AS size FROM c WHERE k > 2)
+  )
+), inside AS (SELECT lang, phrase, max(many) AS longer FROM parts GROUP BY ALL),
+ranked AS (
+  SELECT b.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM best b LEFT JOIN inside USING (lang, phrase)
+  WHERE longer IS NULL OR 100 * longer < 100 * a
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n,
+  score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""

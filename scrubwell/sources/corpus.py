@@ -52,11 +52,14 @@ def read_jsonl(
 def read_directory(
     spark: SparkSession, folder: str, schema: T.StructType = CORPUS_SCHEMA, glob: str = "*.jsonl*"
 ) -> DataFrame:
-    """Every matching file of a folder; an error if there is none."""
-    df = read_jsonl(spark, folder, schema, glob)
-    if not df.inputFiles():
+    """Every matching file of a folder; an error if there is none.
+
+    One file's name answers that; the list of all files stays with the reader.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+    if files.select("path").isEmpty():
         raise FileNotFoundError(f"no {glob} files in {folder}")
-    return df
+    return read_jsonl(spark, folder, schema, glob)
 
 
 def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:

@@ -30,7 +30,7 @@ from scrubwell.plans import oracles as sql
 from scrubwell.plans.cleaner import Cleaner
 from scrubwell.plans.config import NO_TABLES, CleanConfig
 from scrubwell.session import INPUT_TASKS, scratch_path, stage
-from scrubwell.sources import corpus
+from scrubwell.sources import corpus, lines
 from scrubwell.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -177,6 +177,62 @@ def scan_corpus(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# --- lines whose fields come, go and change their type ----------------------
+
+_DRIFT = {
+    0: "concat(', \"score\": ', doc_id, ', \"tags\": [\"a', doc_id, '\", \"b\"]}')",
+    1: "concat(', \"score\": \"', doc_id, '.5\", \"meta\": {\"k\": ', doc_id, ', \"a\": [true, null]}}')",
+    2: "', \"score\": \"none\", \"tags\": \"single\"}'",
+    3: "concat(', \"score\": null, \"meta\": [', doc_id, ']}')",
+    4: "'}'",
+}
+_DRIFTING = "CASE doc_id % 5 " + " ".join(f"WHEN {n} THEN {end}" for n, end in _DRIFT.items()) + " END"
+
+
+def _drifting(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as lines with other fields in every fifth one, one line in 17 broken."""
+    whole = F.to_json(F.struct("doc_id", "text", "lang"))
+    line = F.concat(F.expr("left(j, length(j) - 1)"), F.expr(_DRIFTING))
+    broken = F.concat(F.lit("{broken "), F.col("doc_id").cast("string"))
+    out = documents(spark, folder).withColumn("j", whole).select(
+        F.when(F.col("doc_id") % 17 == 5, broken).otherwise(line).alias("value")
+    )
+    path = scratch_path(spark, "drifting")
+    out.write.text(path)
+    return lines.read_lines(spark, path)
+
+
+@register(
+    "scan_variant",
+    "SELECT CASE WHEN ok THEN doc_id ELSE -1 END AS doc_id, CASE WHEN ok THEN text END AS text, "
+    "CASE WHEN ok THEN lang END AS lang, CASE WHEN NOT ok THEN '{broken ' || doc_id END AS corrupt, "
+    "CASE WHEN ok THEN CASE doc_id % 5 WHEN 0 THEN doc_id::DOUBLE WHEN 1 THEN doc_id + 0.5::DOUBLE END END AS score, "
+    "CASE WHEN ok AND doc_id % 5 = 0 THEN 'a' || doc_id END AS first_tag, "
+    "CASE WHEN ok THEN CASE doc_id % 5 WHEN 1 THEN '{\"a\":[true,null],\"k\":' || doc_id || '}' "
+    "WHEN 3 THEN '[' || doc_id || ']' END END AS meta FROM (SELECT *, doc_id % 17 <> 5 AS ok FROM documents)",
+)
+def scan_variant(spark: SparkSession, folder: str) -> DataFrame:
+    """Fields that no schema names, read with a type; lines of another type give NULL."""
+    read = lines.with_fields(_drifting(spark, folder), {"score": "double", "meta": "variant"})
+    return read.select(
+        F.coalesce("doc_id", F.lit(-1)).alias("doc_id"), "text", "lang", F.col(corpus.CORRUPT).alias("corrupt"), "score",
+        lines.field("$.tags[0]", "string").alias("first_tag"),
+        F.to_json("meta").alias("meta"),
+    )
+
+
+@register(
+    "variant_fields",
+    "SELECT field, type, count(*) AS lines FROM documents JOIN (VALUES "
+    "(0, 'score', 'BIGINT'), (0, 'tags', 'ARRAY<STRING>'), (1, 'score', 'STRING'), "
+    "(1, 'meta', 'OBJECT<a: ARRAY<BOOLEAN>, k: BIGINT>'), (2, 'score', 'STRING'), (2, 'tags', 'STRING'), "
+    "(3, 'score', 'VOID'), (3, 'meta', 'ARRAY<BIGINT>')) v(n, field, type) ON doc_id % 5 = n "
+    "WHERE doc_id % 17 <> 5 GROUP BY ALL",
+)
+def variant_fields(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.field_report(_drifting(spark, folder))
+
+
 @register("scan_chunks", "SELECT doc_id, text FROM documents")
 def scan_chunks(spark: SparkSession, folder: str) -> DataFrame:
     lines = _write_lines(documents(spark, folder).select("doc_id", "text"), "lines")
@@ -1246,16 +1302,26 @@ def stream_clean_batches(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema("doc_id bigint, text string, batch int").parquet(out).drop("batch")
 
 
-# Which of several equal texts comes first depends on arrival, so only the texts are compared.
-@register("stream_dedupe", "SELECT DISTINCT text, sha256(text) AS text_hash FROM documents")
+@register(
+    "stream_dedupe",
+    "SELECT min(doc_id) AS doc_id, text, sha256(text) AS text_hash FROM documents "
+    "WHERE text IS NOT NULL GROUP BY text",
+)
 def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts let through once, and those whose window is still open when the files end."""
+    path = _write_lines(documents(spark, folder), "incoming")
+
+    def timed(df: DataFrame) -> DataFrame:
+        return df.withColumn("arrived", F.timestamp_seconds(F.col("doc_id") + 1_700_000_000))
+
+    stored = timed(spark.read.schema(corpus.CORPUS_SCHEMA).json(path))
     out, state = scratch_path(spark, "distinct"), scratch_path(spark, "distinct-state")
-    stream = _streamed_documents(spark, folder, "text").withColumn(
-        "arrived", F.timestamp_seconds(F.col("doc_id") + 1_700_000_000)
-    )
-    distinct = jobs.dedupe_stream(stream, "arrived", "3650 days")
+    stream = timed(jobs.read_stream(spark, path, files_per_batch=4))
+    distinct = jobs.dedupe_stream(stream, "arrived", jobs.replay_delay(stored, "arrived"))
     jobs.write_stream(distinct, out, state).awaitTermination()
-    return spark.read.schema("text string, text_hash string").parquet(out)
+    columns = ["doc_id", "text"]
+    passed = spark.read.schema(distinct.schema).parquet(out).select(*columns, "text_hash")
+    return passed.unionByName(jobs.open_texts(spark, state, columns))
 
 
 _EVENT_TEXT = (
@@ -1266,25 +1332,24 @@ _EVENT_TEXT = (
 
 @register(
     "stream_report",
-    "SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, tag, changes FROM ("
-    "SELECT date_trunc('hour', ts) AS window_start, tag, count(*) AS changes "
-    "FROM events CROSS JOIN (VALUES ('IPV4'), ('EMAIL')) AS v(tag) GROUP BY 1, 2) "
-    "WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)",
+    "SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, "
+    "tag, count(*) AS changes FROM events CROSS JOIN (VALUES ('IPV4'), ('EMAIL')) AS v(tag) GROUP BY ALL",
 )
 def stream_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Hourly counts; the last windows wait for the watermark to pass them."""
+    """Hourly counts: the windows written, and those still open when the files end."""
     rows = table(spark, folder, "events").select(
         F.col("event_id").alias("doc_id"), F.expr(_EVENT_TEXT).alias("text"), F.col("ts").cast("timestamp")
     )
     incoming = scratch_path(spark, "events")
     rows.write.parquet(incoming)
+    delay = jobs.replay_delay(spark.read.schema(rows.schema).parquet(incoming), "ts")
     out, state = scratch_path(spark, "hours"), scratch_path(spark, "hours-state")
     stream = jobs.read_stream(spark, incoming, rows.schema, "parquet")
     cleaned = Cleaner(REDACTION_ONLY).transform(stream)
-    jobs.write_stream(jobs.report_stream(cleaned, "ts"), out, state).awaitTermination()
-    schema = "window_start timestamp, window_end timestamp, tag string, changes bigint"
-    hours = spark.read.schema(schema).parquet(out)
-    return hours.select(
+    report = jobs.report_stream(cleaned, "ts", delay)
+    jobs.write_stream(report, out, state).awaitTermination()
+    hours = spark.read.schema(report.schema).parquet(out)
+    return hours.unionByName(jobs.open_windows(spark, state)).select(
         F.col("window_start").cast("timestamp_ntz"),
         F.col("window_end").cast("timestamp_ntz"),
         "tag",

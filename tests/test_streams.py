@@ -47,18 +47,79 @@ def test_stream_batches_run_the_joining_steps(spark, tmp_path):
         jobs.stream_clean(jobs.read_stream(spark, source), cleaner, out, state)
 
 
+def arrivals(spark, source, batches, delay, out, state, **options):
+    """Rows ``(second, doc_id, text)`` batch by batch; let through, and still waiting."""
+    made = [
+        spark.createDataFrame(
+            [(key, text, second) for second, key, text in batch], "doc_id bigint, text string, second bigint"
+        ).withColumn("at", F.timestamp_seconds(F.col("second") + 1_700_000_040))
+        for batch in batches
+    ]
+    for rows in made:
+        rows.coalesce(1).write.mode("append").parquet(source)
+        stream = jobs.read_stream(spark, source, rows.schema, "parquet", 1)
+        distinct = jobs.dedupe_stream(stream, "at", delay, **options)
+        jobs.write_stream(distinct, out, state).awaitTermination()
+    passed = spark.read.schema(distinct.schema).parquet(out)
+    waiting = jobs.open_texts(spark, state, ["doc_id", "text"])
+    return tuple(
+        sorted(((row.doc_id, row.text) for row in frame.select("doc_id", "text").collect()), key=repr)
+        for frame in (passed, waiting)
+    )
+
+
 def test_stream_dedupe_with_a_hot_text(spark, tmp_path):
     source, out, state = (str(tmp_path / name) for name in ("in", "out", "state"))
-    rows = [(n, "hot" if n % 3 == 0 else f"t{n % 40}", "en", "s") for n in range(600)]
-    lines(spark, source, rows[:300], None)
-    lines(spark, source, rows[300:], None)
-    stream = jobs.read_stream(spark, source, files_per_batch=1).withColumn(
-        "at", F.timestamp_seconds(F.col("doc_id") + 1_700_000_000)
-    )
-    distinct = jobs.dedupe_stream(stream, "at", "1 day")
-    jobs.write_stream(distinct, out, state).awaitTermination()
-    got = sorted(row.text for row in spark.read.parquet(out).collect())
-    assert got == sorted({text for _, text, _, _ in rows})
+    rows = [(n, n, "hot" if n % 3 == 0 else f"t{n % 40}") for n in range(600)]
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    passed, waiting = arrivals(spark, source, [rows[:300], rows[300:]], "1 day", out, state)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == provider
+    first = {}
+    for _, key, text in rows:
+        first.setdefault(text, key)
+    assert (passed, waiting) == ([], sorted(((key, text) for text, key in first.items()), key=repr))
+
+
+def test_stream_dedupe_keeps_the_smallest_and_forgets(spark, tmp_path):
+    source, out, state = (str(tmp_path / name) for name in ("in", "out", "state"))
+    batches = [
+        # 7 comes before 3 but in one window; keys may be missing; no text is no row
+        [(1, 7, "a"), (2, 3, "a"), (3, None, "b"), (4, 9, "b"), (5, None, "c"), (6, 1, None)],
+        [(300, 2, "a"), (301, 4, "d")],  # a again, within the time
+        [(600, 5, "e")],
+        [(4000, 6, "a"), (4001, 8, "e")],  # an hour later both were forgotten
+        [(8000, 10, "z")],
+        [(9000, 11, "z"), (9000, 12, "y")],  # these windows are open
+    ]
+    passed, waiting = arrivals(spark, source, batches, "10 seconds", out, state, remember="30 minutes")
+    want = [(3, "a"), (9, "b"), (None, "c"), (4, "d"), (5, "e"), (6, "a"), (8, "e"), (10, "z")]
+    assert passed == sorted(want, key=repr)
+    assert waiting == [(12, "y")]
+
+
+def test_a_replay_in_any_order_loses_no_row(spark, tmp_path):
+    """Files written against the order of their times, one a batch."""
+    source, out, state = (str(tmp_path / name) for name in ("in", "out", "state"))
+    hour = 3600
+    for start in (3, 1, 2, 0, 9):
+        rows = spark.createDataFrame(
+            [(start * hour + n * 60 + 1_699_999_200, "a@b.co") for n in range(30)], "doc_id bigint, text string"
+        ).withColumn("at", F.timestamp_seconds("doc_id"))
+        rows.coalesce(1).write.mode("append").parquet(source)
+    stored = spark.read.parquet(source)
+    delay = jobs.replay_delay(stored, "at")
+    assert int(delay.split()[0]) // 1000 >= 3 * hour
+    assert jobs.replay_delay(stored.limit(0), "at") == "600000 milliseconds"
+    stream = jobs.read_stream(spark, source, rows.schema, "parquet", 1)
+    report = jobs.report_stream(Cleaner(CONFIG).transform(stream), "at", delay)
+    jobs.write_stream(report, out, state).awaitTermination()
+    closed = spark.read.schema(report.schema).parquet(out)
+    open_ones = jobs.open_windows(spark, state)
+    assert closed.count() and open_ones.count()
+    whole = closed.unionByName(open_ones).orderBy("window_start").collect()
+    assert [row.changes for row in whole] == [30] * 5
+    assert len({row.window_start for row in whole}) == 5
+    assert jobs.open_windows(spark, state).count() == open_ones.count()
 
 
 def test_stream_report_counts_and_drops_late_rows(spark, tmp_path):

@@ -65,7 +65,23 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._staged_at = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete staged tables once their last reader has been written.
+
+    A table made of staged ones reads them when it runs, so release what it is made of only
+    after it was staged itself.  Tables that were not staged here are left alone.
+    """
+    for table in tables:
+        path = table.__dict__.pop("_staged_at", None)
+        if path:
+            spark = table.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def settle(df: DataFrame, columns: list[str]) -> DataFrame:

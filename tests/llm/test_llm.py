@@ -124,8 +124,7 @@ def test_near_duplicates(hard, nothing):
     assert {r.doc_id for r in kept.collect()} == set(want.values()) | {None}
 
 
-@pytest.mark.parametrize("crowded", [1, 64])
-def test_near_copies_against_all_pairs(spark, hard, nothing, crowded):
+def test_near_copies_against_all_pairs(spark, hard, nothing):
     draw = random.Random(12)
     vocabulary = [f"w{i}" for i in range(3000)]
     texts = [None, "", "  ", "one two", "One  two", "one two three"]
@@ -155,12 +154,11 @@ def test_near_copies_against_all_pairs(spark, hard, nothing, crowded):
             root = [low if r == high else r for r in root]
     assert pairs > 50
     table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    found = near_copies.near_copies(table, crowded=crowded).collect()
+    found = near_copies.near_copies(table).collect()
     assert {r.doc_id: r.component_id for r in found} == dict(enumerate(root)) and len(found) == len(texts)
-    if crowded > 1:
-        kept = near_copies.one_of_each(hard)
-        assert kept.columns == hard.columns and kept.filter("doc_id is null").count() == 2
-        assert near_copies.one_of_each(nothing).count() == 0
+    kept = near_copies.one_of_each(hard)
+    assert kept.columns == hard.columns and kept.filter("doc_id is null").count() == 2
+    assert near_copies.one_of_each(nothing).count() == 0
 
 
 def test_pipeline_drops_copies_with_one_word_replaced(spark):

@@ -25,5 +25,10 @@ def dedupe_texts(df: DataFrame, order: str = "doc_id", text: str = "text") -> Da
 
 
 def dedupe_report(findings: DataFrame, kept: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The findings of the rows that survived."""
-    return findings.join(kept.select(key), key, "left_semi")
+    """The findings of the rows that survived.
+
+    Rows without a key are one group here: their findings stay if any of them survived.
+    ``Cleaner.clean_distinct`` keeps findings on their row and can tell them apart.
+    """
+    stays = kept.select(F.col(key).alias("_key")).distinct()
+    return findings.join(stays, F.equal_null(findings[key], stays["_key"]), "left_semi")

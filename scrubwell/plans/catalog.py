@@ -23,6 +23,7 @@ from scrubwell.operators import (
     entities,
     findings,
     language,
+    seen,
     spelling,
     tallies,
 )
@@ -1238,6 +1239,26 @@ def dedupe_texts(spark: SparkSession, folder: str) -> DataFrame:
     return dedupe.dedupe_texts(_all_texts(spark, folder))
 
 
+@register(
+    "dedupe_incremental",
+    f"SELECT doc_id, text, CASE WHEN doc_id < 1000000000 THEN 'documents' WHEN doc_id < 2000000000 "
+    f"THEN 'benchmark' ELSE 'conversations' END AS run FROM ({_ALL_TEXTS_SQL}) QUALIFY {_FIRST_SQL}",
+)
+def dedupe_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Three runs one after the other; together they keep what one run over all would keep."""
+    texts = _all_texts(spark, folder).select("doc_id", "text")
+    known = seen.SeenTexts(spark, scratch_path(spark, "seen"))
+    edges = {"documents": 0, "benchmark": 1_000_000_000, "conversations": 2_000_000_000}
+    parts = [
+        known.first_sights(
+            texts.filter(F.col("doc_id").between(start, start + 999_999_999)), run
+        ).withColumn("run", F.lit(run))
+        for run, start in edges.items()
+    ]
+    known.forget()
+    return corpus.concat_results(*parts)
+
+
 _IP_FINDINGS_SQL = (
     "SELECT doc_id, 'replace_ip' AS step, 'IPV4' AS tag, h AS original, "
     f"'{rules.TOKENS['IPV4']}' AS replacement, CAST(p - 1 AS INTEGER) AS pos FROM (SELECT doc_id, "

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from scrubwell import rules
 from scrubwell.functions import lengths, normalize, redact, repeats
 from scrubwell.operators import dedupe, entities, findings, language, spelling
+from scrubwell.operators.seen import SeenTexts
 from scrubwell.plans.config import CleanConfig
 from scrubwell.session import settle, stage
 
@@ -315,3 +316,8 @@ class Cleaner:
         kept = dedupe.dedupe_texts(self.transform(df), self.keys[0], self.text)
         done = stage(kept, "cleaned")
         return done.drop("findings"), findings.explode_findings(done, self.keys)
+
+    def clean_new(self, df: DataFrame, seen: SeenTexts, run: str) -> tuple[DataFrame, DataFrame]:
+        """Like :meth:`clean_distinct`, without texts that earlier runs have let through."""
+        done = seen.first_sights(self.transform(df), run, self.keys[0], self.text)
+        return done.drop("findings"), findings.explode_findings(done, self.keys)

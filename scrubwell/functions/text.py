@@ -83,6 +83,11 @@ def pieces(text: Column) -> Column:
     return matches(text, rules.WORD_PIECES)
 
 
+def word_pieces(text: Column) -> Column:
+    """Runs of word characters and single other characters, in order: cut at every word boundary."""
+    return matches(text, rules.WORDS_AND_MARKS)
+
+
 def characters(text: Column) -> Column:
     """One array element per code point."""
     return F.split(text, "", -1)

@@ -1010,6 +1010,30 @@ def redact_entities(spark: SparkSession, folder: str) -> DataFrame:
     return entities.redact_entities(_named(spark, folder), names)
 
 
+_LISTED = f"concat({SPIKES['profanity']}, ' so BAD', cast(doc_id % 2000 as string), ' bad', ' xbad1')"
+_WORD_PIECES_RE2 = r"[\p{L}\p{M}\p{Nd}_]+|[^\p{L}\p{M}\p{Nd}_]"
+_WORD_LIST = ", ".join(f"('{word}')" for word in sorted(rules.PROFANITY))
+
+
+@register(
+    "redact_profanity_table",
+    f"WITH listed AS (SELECT lower(w) AS term FROM (VALUES {_WORD_LIST}) v(w) "
+    "UNION SELECT 'bad' || c_custkey FROM customer), piece AS (SELECT doc_id, unnest(p) AS piece, "
+    f"generate_subscripts(p, 1) AS i FROM (SELECT doc_id, regexp_extract_all({_LISTED}, "
+    f"{sql.lit(_WORD_PIECES_RE2)}) AS p FROM documents)) SELECT doc_id, string_agg(CASE WHEN term IS NULL "
+    f"THEN piece ELSE '{rules.TOKENS['PROFANITY']}' END, '' ORDER BY i) AS text FROM piece "
+    "LEFT JOIN listed ON lower(piece) = term GROUP BY doc_id",
+)
+def redact_profanity_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A word list that grows with the tables, too long for a pattern."""
+    people = corpus.read_table(spark, folder, "customer")
+    short = spark.createDataFrame([(word,) for word in sorted(rules.PROFANITY)], "term string")
+    listed = short.union(people.select(F.concat(F.lit("bad"), "c_custkey")))
+    words = entities.prepare_words(listed)
+    redacted = entities.redact_words(documents(spark, folder, _LISTED), words)
+    return redacted.select("doc_id", "text")
+
+
 # --- the whole cleaner ------------------------------------------------------
 
 

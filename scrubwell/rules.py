@@ -96,6 +96,10 @@ IPV6_FULL = r"^(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}\z"
 # The 32 ASCII punctuation marks, as the inside of a character class.
 ASCII_PUNCTUATION = r"!-/:-@\[-`{-~"
 WORD_PIECES = rf"(?U)[^{ASCII_PUNCTUATION}\s]++|[{ASCII_PUNCTUATION}\s]"
+# Runs of word characters, single other characters: cut at every word boundary.
+WORDS_AND_MARKS = r"(?U)\w++|\W"
+# A term that begins and ends with a word character.
+WHOLE_WORDS = r"(?Us)^\w(?:.*\w)?\z"
 # Whatever holds a digit, a slash, an at sign, an underscore or colon-separated hex:
 # numbers, addresses of machines, paths, identifiers.
 GUARDED_TOKEN = r"\S*(?:[0-9/\\@_]|[0-9A-Fa-f]:[0-9A-Fa-f:])\S*"

@@ -331,3 +331,46 @@ def test_spelling_leaves_identifiers_and_foreign_texts(spark):
     out = {r.doc_id: r.text for r in cleaner.transform(docs.union(foreign)).collect()}
     assert "[MAC_REDACTED]" in out[0] and "[UUID_REDACTED]" in out[1] and "[PATH_REDACTED]" in out[2]
     assert "[PROFANITY_REDACTED]" in out[3] and out[9] == "cafe le chat"
+
+
+def test_words_of_a_table_in_any_case(spark, texts):
+    listed = ["damn", "Holy cow", "holy", "holy cow pat", "élan", "no_go", "b-side", " ", None, "$$", "x!"]
+    words = entities.prepare_words(spark.createDataFrame([(w,) for w in listed], "term string"))
+    assert {row.term for row in words.collect()} == {"damn", "holy cow", "holy", "holy cow pat", "élan", "no_go", "b-side"}
+    docs = texts(
+        "DAMN it, damnit; Damn.", "Holy cow! holy cows, HOLY COW PAT", "ÉLAN xélan", "a no_go no go_",
+        "B-Side b side", "$$ x!", None, "", "holy", "say\nholy  cow",
+    )
+    out = entities.redact_words(docs, words, token="#", spans="spans").orderBy("doc_id").collect()
+    assert [row.text for row in out] == [
+        "# it, damnit; #.", "#! # cows, #", "# xélan", "a # no go_", "# b side", "$$ x!", None, "", "#", "say\n#  cow",
+    ]
+    assert [(s.pos, s.term) for s in out[1].spans] == [(0, "holy cow"), (5, "holy"), (10, "holy cow pat")]
+    keyed = entities.redact_words(docs, words, hmac_key="k").orderBy("doc_id").first().text
+    assert keyed.startswith("[PROFANITY_HASH_") and keyed.count("[PROFANITY_HASH_") == 2
+    assert entities.redact_words(docs.limit(0), words).count() == 0
+    nothing = entities.prepare_words(spark.createDataFrame([], "term string"))
+    assert entities.redact_words(docs, nothing).filter("text = 'holy'").count() == 1
+
+
+def test_table_and_pattern_agree_on_a_short_list(spark):
+    from scrubwell import rules
+    from scrubwell.functions import redact
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    listed = [row.w for row in docs.select(F.explode(F.split("text", r"\W+")).alias("w")).distinct().limit(60).collect()]
+    words = entities.prepare_words(spark.createDataFrame([(w,) for w in listed], "term string"))
+    rule = redact.profanity([w for w in listed if w])[0]
+    by_pattern = docs.select("doc_id", rule.apply(F.col("text")).alias("text"))
+    by_table = entities.redact_words(docs, words, token=rules.TOKENS["PROFANITY"])
+    assert sorted(by_table.collect()) == sorted(by_pattern.collect())
+
+
+def test_names_are_spelled_out_only_where_one_may_begin(spark):
+    """Few places of a text reach the join."""
+    docs = spark.range(50).selectExpr("id AS doc_id", "concat(repeat('one two three. ', 200), 'Ann Lee ', id) AS text")
+    names = entities.prepare_gazetteer(
+        spark.createDataFrame([(f"Ann Lee {n}", "PERSON") for n in range(30)], "term string, label string")
+    )
+    found = entities.find_entities(docs, names)
+    assert found.count() == 30

@@ -5,13 +5,15 @@ from __future__ import annotations
 import json
 from dataclasses import asdict
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scrubwell.plans.config import CleanConfig
+from scrubwell.session import stage
 
 CORRUPT = "_corrupt_record"
+BUCKETS = 65_536  # of rows, when two tables are compared
 CORPUS_SCHEMA = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -146,11 +148,46 @@ def verify_write(expected: DataFrame, written: DataFrame) -> DataFrame:
     )
 
 
-def differences(expected: DataFrame, written: DataFrame) -> DataFrame:
-    """Rows found on one side only, with the side they are missing from."""
-    written = written.select(*expected.columns)
-    lost = expected.exceptAll(written).withColumn("missing_from", F.lit("written"))
-    extra = written.exceptAll(expected).withColumn("missing_from", F.lit("expected"))
+def _bucket(columns: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(2), *columns), F.lit(buckets)).alias("_bucket")
+
+
+def differing_buckets(expected: DataFrame, written: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """``_bucket`` of the rows whose count or content is not the same on both sides.
+
+    Rows are dealt to buckets by their content.  Per bucket only a count and two sums of hashes are
+    kept, so one narrow row per bucket and task is shuffled, whatever the size of the tables.
+    """
+    columns = expected.columns
+
+    def sums(df: DataFrame, sign: int) -> DataFrame:
+        hashes = [F.xxhash64(F.lit(seed), *columns).cast("decimal(38,0)") for seed in (0, 1)]
+        return df.select(
+            _bucket(columns, buckets), F.lit(sign).cast("bigint").alias("n"),
+            *[(h * sign).alias(f"h{i}") for i, h in enumerate(hashes)],
+        )
+
+    both = sums(expected, 1).unionAll(sums(written.select(*columns), -1))
+    totals = both.groupBy("_bucket").agg(*[F.sum(name).alias(name) for name in ("n", "h0", "h1")])
+    return totals.filter("n <> 0 OR h0 <> 0 OR h1 <> 0").select("_bucket")
+
+
+def differences(expected: DataFrame, written: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """Rows found on one side only, with the side they are missing from.
+
+    Sums over buckets come first; whole rows are compared in differing buckets only, so
+    where few rows differ few are shuffled: one in ``buckets`` for each.
+    """
+    columns = expected.columns
+    written = written.select(*columns)
+    found = stage(differing_buckets(expected, written, buckets), "differing")
+
+    def rows(df: DataFrame) -> DataFrame:
+        told = df.withColumn("_bucket", _bucket(columns, buckets))
+        return told.join(found, "_bucket", "left_semi").select(*columns)
+
+    lost = rows(expected).exceptAll(rows(written)).withColumn("missing_from", F.lit("written"))
+    extra = rows(written).exceptAll(rows(expected)).withColumn("missing_from", F.lit("expected"))
     return lost.unionAll(extra)
 
 

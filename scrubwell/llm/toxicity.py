@@ -23,6 +23,11 @@ BEGINNINGS = (4, 5, 6)  # bytes of a word's beginnings
 FACTORS = 8
 SAMPLE = 20_000  # labelled rows that the model is fitted on, at most
 THRESHOLD = 0.3
+FIT_TERMS = 4096  # terms of a text that the model is fitted on, at most
+PAIR_TEXTS = 1000  # texts of either kind in which pairs are screened, at most
+PAIR_TERMS = 400  # terms of a text whose pairs are screened, at most
+PAIR_BITS = 22
+PAIR_RATIO = 40  # log-likelihood ratio; about 1e-10 by chance, for 4 million hashes
 REMEMBERED = 300_000  # words of a task whose terms are looked up
 # UTF-8 of the general punctuation and of the signs of Latin-1
 _SIGNS = re.compile(rb"\xe2\x80[\x80-\xbf]|\xc2[\x80-\xbf]|\xe3\x80[\x80-\x82]")
@@ -81,19 +86,85 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(raw, -30, 30))))
 
 
+def _ratio(bad: np.ndarray, seen: np.ndarray, share: float) -> np.ndarray:
+    """The log-likelihood ratio of ``bad`` among ``seen`` against a share."""
+
+    def part(count, expected):
+        return count * np.log(np.maximum(count, 1e-12) / np.maximum(expected, 1e-12))
+
+    return 2 * (part(bad, seen * share) + part(seen - bad, seen * (1 - share)))
+
+
 def _telling(texts: list[np.ndarray], toxic: np.ndarray, least: int = 3) -> np.ndarray:
-    """Terms whose share among toxic texts departs from the rest (log-likelihood ratio over 10.8)."""
+    """The terms that the model is fitted on: those that tell something alone, and those of telling pairs.
+
+    A term tells something alone if its share among toxic texts departs from the rest
+    (log-likelihood ratio over 10.8).  Fitting all terms instead costs recall on
+    held-out texts; pairs are screened on their own, so that none is lost whose terms are neutral.
+    """
     flat = np.concatenate([*texts, np.zeros(0, np.int32)])
     owner = np.repeat(toxic, [len(text) for text in texts])
     seen = np.bincount(flat, minlength=SPACE).astype(float)
     bad = np.bincount(flat, weights=owner, minlength=SPACE)
     share = np.clip(toxic.mean() if len(toxic) else 0.5, 1e-6, 1 - 1e-6)
+    alone = (seen >= least) & (_ratio(bad, seen, share) > 10.8)
+    strong = alone & (2 * bad >= seen)
+    open_ones = [text for text, is_bad in zip(texts, toxic) if is_bad and not strong[text].any()]
+    clean = [text for text, is_bad in zip(texts, toxic) if not is_bad]
+    paired = _paired(open_ones, clean, seen, least)
+    return np.union1d(np.flatnonzero(alone), paired)
+
+
+def _pairs_of(text: np.ndarray, seen: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of a text's terms, of its PAIR_TERMS rarest that occur ``least`` times or more."""
+    text = text[seen[text] >= least]
+    if len(text) > PAIR_TERMS:
+        text = np.sort(text[np.argsort(seen[text], kind="stable")[:PAIR_TERMS]])
+    left, right = np.triu_indices(len(text), 1)
+    return text[left].astype(np.int64), text[right].astype(np.int64)
+
+
+def _paired(
+    bad: list[np.ndarray], clean: list[np.ndarray], seen: np.ndarray, least: int
+) -> np.ndarray:
+    """Terms of pairs that stand together in toxic texts which no single term explains.
+
+    Pairs are counted by hash over PAIR_TEXTS texts of either kind at most, evenly taken.  A hash tells
+    something if its ratio passes a bound that no chance pair of all hashes is expected to
+    pass; its pairs in toxic texts give the terms.
+    """
 
-    def part(count, expected):
-        return count * np.log(np.maximum(count, 1e-12) / np.maximum(expected, 1e-12))
-
-    ratio = 2 * (part(bad, seen * share) + part(seen - bad, seen * (1 - share)))
-    return np.flatnonzero((seen >= least) & (ratio > 10.8))
+    def some(texts):
+        return [texts[i] for i in np.linspace(0, len(texts) - 1, PAIR_TEXTS).astype(int)] if len(texts) > PAIR_TEXTS else texts
+
+    bad, clean = some(bad), some(clean)
+    if len(bad) < least or not clean:
+        return np.empty(0, np.int64)
+
+    def slots(left, right):
+        mixed = (left * SPACE + right).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+
+    def counted(texts):
+        counts = np.zeros(1 << PAIR_BITS, np.int32)
+        for text in texts:
+            np.add.at(counts, np.unique(slots(*_pairs_of(text, seen, least))), 1)
+        return counts
+
+    in_bad, in_clean = counted(bad), counted(clean)
+    share = len(bad) / (len(bad) + len(clean))
+    both = in_bad + in_clean
+    held = np.flatnonzero((in_bad >= least) & (in_bad > 2 * share * both))
+    telling = np.zeros(1 << PAIR_BITS, bool)
+    telling[held] = _ratio(in_bad[held].astype(float), both[held].astype(float), share) > PAIR_RATIO
+    if not telling.any():
+        return np.empty(0, np.int64)
+    found = []
+    for text in bad:
+        left, right = _pairs_of(text, seen, least)
+        hit = telling[slots(left, right)]
+        found.append(np.union1d(left[hit], right[hit]))
+    return np.unique(np.concatenate(found))
 
 
 def fit(
@@ -154,6 +225,14 @@ def _by_row(owner: np.ndarray, values: np.ndarray, rows: int) -> np.ndarray:
     )
 
 
+def _bounded(terms: np.ndarray, most: int) -> np.ndarray:
+    """At most ``most`` of a text's terms, scattered over all of them, sorted."""
+    if len(terms) <= most:
+        return terms
+    scattered = terms.astype(np.uint32) * np.uint32(0x9E3779B1)
+    return np.sort(terms[np.argsort(scattered, kind="stable")[:most]])
+
+
 def held_out(key: Column) -> Column:
     """The quarter of keys that no label may be learned from; false for null keys."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -166,6 +245,7 @@ def train(
     text: str = "text",
     label: str = "toxic",
     sample: int = SAMPLE,
+    most: int = FIT_TERMS,
 ) -> Model:
     """Fit on at most ``sample`` labelled texts outside the held-out quarter.
 
@@ -173,8 +253,8 @@ def train(
     not depend on how the tables are split.  Null labels and null keys do not
     count; of rows that repeat a key the one with the smallest terms is learned
     from.  The chosen keys, ``sample`` at most, are broadcast, so no text is
-    shuffled; the terms of the chosen texts, some hundred bytes to kilobytes
-    each, go to the driver.
+    shuffled; the terms of the chosen texts, ``most`` of each at most, go to the driver.
+    Scores are always made from all terms of a text.
     """
     known = (
         labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key)))
@@ -188,7 +268,8 @@ def train(
     @F.arrow_udf("array<int>")
     def hashed(texts: pa.Array) -> pa.Array:
         terms = Terms()
-        return pa.array([terms.of(text.as_py()) for text in texts], pa.list_(pa.int32()))
+        rows = [terms.of(text.as_py()) for text in texts]
+        return pa.array([_bounded(row, most) for row in rows], pa.list_(pa.int32()))
 
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     rows = (

@@ -330,6 +330,44 @@ def test_factorization_machine_learns_pairs():
     assert score("insult group") > 0.5 > max(score("insult"), score("group"), score("filler1"))
 
 
+def test_pairs_whose_terms_are_neutral_alone():
+    """Each term as often toxic as any other; only both together are."""
+    draw = random.Random(21)
+    words = [f"word{i}" for i in range(400)]
+    texts, toxic = [], []
+    for _ in range(6000):
+        picked = set(draw.choices(words, k=25))
+        chance = draw.random()
+        if chance < 0.05:
+            picked |= {"left", "right"}
+        elif chance < 0.5:
+            picked.add("left")
+        elif chance < 0.95:
+            picked.add("right")
+        bad = {"left", "right"} <= picked
+        texts.append(toxicity.Terms().of(" ".join(picked)))
+        toxic.append(bad or draw.random() < 0.05)
+    toxic = np.array(toxic)
+    seen = np.bincount(np.concatenate(texts), minlength=toxicity.SPACE).astype(float)
+    bad = np.bincount(np.concatenate(texts), weights=np.repeat(toxic, [len(t) for t in texts]), minlength=toxicity.SPACE)
+    ratio = toxicity._ratio(bad, seen, toxic.mean())
+    terms = {name: toxicity.Terms().of(name) for name in ("left", "right")}
+    model = toxicity.fit(texts, toxic)
+    score = lambda text: model.score(toxicity.Terms(model.place).of(text))
+    assert all((model.place[rows] >= 0).all() for rows in terms.values())
+    assert score("left right word3") > 0.9
+    assert max(score("left word3"), score("right word7"), score("word1 word2")) < 0.5
+    assert max(ratio[rows].max() for rows in terms.values()) < 200
+
+
+def test_terms_of_a_text_are_bounded_for_fitting_only():
+    terms = np.arange(0, 9000, 3, dtype=np.int32)
+    some = toxicity._bounded(terms, 100)
+    assert len(some) == 100 and set(some) <= set(terms) and (np.diff(some) > 0).all()
+    assert some.max() > 5000 and some.min() < 1000
+    assert toxicity._bounded(terms, 5000) is terms
+
+
 def test_toxicity_table(spark, hard, nothing):
     docs = spark.createDataFrame(
         [(i, f"text number {i} " + ("idiot scum" if i % 5 == 0 else "fine words")) for i in range(400)],

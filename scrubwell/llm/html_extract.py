@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scrubwell.llm.url_filter import split_url
+from scrubwell.session import stage
 
 CONTAINERS = frozenset("address article blockquote center dd div fieldset main section td".split())
 BLOCKS = CONTAINERS | frozenset(
@@ -27,13 +28,21 @@ BLOCKS = CONTAINERS | frozenset(
     "tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# Their inside is no markup: it is skipped up to the end tag.
+RAW = frozenset("script style textarea title".split())
+# Their inside is not the page's text; without an end tag they end with what surrounds them.
 HIDDEN = frozenset(
-    "audio canvas iframe noembed noframes noscript object script select style svg template "
-    "textarea title video".split()
+    "audio button canvas datalist iframe noembed noframes noscript object select svg template video".split()
 )
-JUNK_TAGS = frozenset("aside button dialog footer form header menu nav search".split())
+JUNK_TAGS = frozenset("aside dialog footer header menu nav search".split())
 JUNK_ROLES = frozenset(
-    "alert banner complementary contentinfo dialog form menu navigation search".split()
+    "alert banner complementary contentinfo dialog menu navigation search".split()
+)
+# A class that is one of these speaks for itself, also inside an article.
+CLEAR_NAMES = frozenset(
+    "ad ads adbox adslot advert advertisement adverts breadcrumb breadcrumbs comment comments commentlist "
+    "consent cookie cookies disqus gdpr modal newsletter pager pagination paywall popup promo "
+    "promoted share sharing social sponsor sponsored subscribe".split()
 )
 JUNK_NAMES = frozenset(
     "ad ads adbox adslot advert advertisement adverts banner breadcrumb breadcrumbs comment "
@@ -53,6 +62,7 @@ CLOSES = {
     "option": ({"option"}, {"select"}),
 }
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+CONTROL_TEXT = 80  # characters of a form's text for each control, at most, for the form to be junk
 DECAY = 0.9  # of a container's score, per level up
 ARTICLES = frozenset(("article", "main"))
 
@@ -61,6 +71,7 @@ _TAG = re.compile(
 )
 _LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|\b(hidden)\b""")
+_GOES_ON = re.compile(r"</?(?:p|div|section|article|main|h[1-6]|ul|ol|li|table|body)[\s>]", re.I)
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+")
 _DIGITS = re.compile(r"\d+")
 
@@ -70,8 +81,8 @@ class Page:
     """Containers (``parents``, ``paths``, tags, marks) and the blocks of text in order.
 
     A block is (container, text, link characters, whether a heading).  Container 0 is
-    the page.  ``surely`` and ``named`` mark junk, ``hinted`` containers have an id that
-    may speak of junk, ``forms`` hold parts of forms.
+    the page.  ``surely`` and ``named`` mark junk, ``hinted`` containers have a name that
+    may speak of junk, ``forms`` hold parts of forms, ``controls`` counts these.
     """
 
     parents: list[int] = field(default_factory=lambda: [0])
@@ -80,14 +91,16 @@ class Page:
     named: list[bool] = field(default_factory=lambda: [False])
     hinted: list[bool] = field(default_factory=lambda: [False])
     forms: list[bool] = field(default_factory=lambda: [False])
+    controls: list[int] = field(default_factory=lambda: [0])
     tags: list[str] = field(default_factory=lambda: [""])
     in_article: list[bool] = field(default_factory=lambda: [False])
     blocks: list[tuple[int, str, int, bool]] = field(default_factory=list)
 
 
-def _marks(attributes: str) -> tuple[str, bool, bool, bool]:
-    """The generalised class or id, whether the element is surely junk, and whether its class or its id speaks of it."""
-    label, surely, named, hinted = "", False, False, False
+def _marks(attributes: str) -> tuple[str, bool, bool, bool, bool]:
+    """The generalised class or id, whether the element is surely junk, and whether its class or its id
+    speaks of it; the last tells whether the class does so clearly."""
+    label, surely, named, hinted, clear = "", False, False, False, False
     for name, value, hidden in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if hidden or (name == "aria-hidden" and value == "true"):
@@ -100,10 +113,11 @@ def _marks(attributes: str) -> tuple[str, bool, bool, bool]:
             parts = {part.lower() for part in _NAME_PARTS.findall(value)}
             speaks = not JUNK_NAMES.isdisjoint(parts.union(value.lower().split()))
             named = named or (speaks and name == "class")
+            clear = clear or (name == "class" and not CLEAR_NAMES.isdisjoint(value.lower().split()))
             hinted = hinted or (speaks and name == "id")
             if name == "class" or not label:
                 label = _DIGITS.sub("", ".".join(sorted(value.split())))
-    return label, surely, named, hinted
+    return label, surely, named, hinted, clear
 
 
 class _Parser:
@@ -111,6 +125,8 @@ class _Parser:
         self.page = Page()
         self.stack: list[tuple[str, int]] = []  # open elements with the container around their inside
         self.open: dict[str, int] = {}
+        self.hides: list[bool] = []  # for each open element whether its inside is not shown
+        self.hidden = 0
         self.text: list[str] = []
         self.link_size = 0
 
@@ -125,15 +141,21 @@ class _Parser:
 
     def _push(self, tag: str, attributes: str) -> None:
         page, around = self.page, self.stack[-1][1] if self.stack else 0
-        label, surely, named, hinted = _marks(attributes) if attributes else ("", False, False, False)
+        label, surely, named, hinted, clear = (
+            _marks(attributes) if attributes else ("", False, False, False, False)
+        )
         if tag == "p" or tag in HEADINGS:
-            hinted = False
-        if tag == "form":
-            page.forms[around] = True
-        in_article = tag == "header" and "article" in self.open
-        surely = surely or (tag in JUNK_TAGS and not in_article)
+            named, hinted = clear, False
+        if tag in ("form", "label", "legend") or tag in HIDDEN:
+            page.forms[around] |= tag in ("form", "select", "button", "datalist")
+            page.controls[around] += tag in ("select", "button", "datalist")
+        if named and not clear and not ARTICLES.isdisjoint(self.open):
+            named, hinted = False, True  # inside an article a name alone is no evidence
+        in_article = tag == "header" and not ARTICLES.isdisjoint(self.open)
+        hides = tag in HIDDEN or (tag in ("label", "legend") and "form" in self.open)
+        surely = surely or hides or (tag in JUNK_TAGS and not in_article)
         inside = around
-        if tag in CONTAINERS or surely or named or hinted or in_article:
+        if tag in CONTAINERS or surely or named or hinted or in_article or tag == "form":
             path = f"{page.paths[around]}/{tag}.{label}" if label else f"{page.paths[around]}/{tag}"
             if len(path) > 200:
                 path = "#" + xxhash.xxh64_hexdigest(path)
@@ -141,17 +163,21 @@ class _Parser:
             page.parents.append(around)
             page.paths.append(path)
             page.surely.append(surely)
-            page.named.append(named or in_article)
+            page.named.append(named)
             page.hinted.append(hinted)
-            page.forms.append(False)
+            page.forms.append(tag == "form")
+            page.controls.append(0)
             page.tags.append(tag)
             page.in_article.append(page.tags[around] in ARTICLES or page.in_article[around])
         self.stack.append((tag, inside))
+        self.hides.append(hides)
+        self.hidden += hides
         self.open[tag] = self.open.get(tag, 0) + 1
 
     def _pop_to(self, tag: str) -> None:
         while True:
             popped, _ = self.stack.pop()
+            self.hidden -= self.hides.pop()
             self.open[popped] -= 1
             if not self.open[popped]:
                 del self.open[popped]
@@ -175,8 +201,9 @@ class _Parser:
                     self._pop_to(found)
         elif tag == "br":
             self.text.append(" ")
-        if tag == "input":
+        if tag == "input" and "hidden" not in attributes.lower():
             self.page.forms[self.stack[-1][1] if self.stack else 0] = True
+            self.page.controls[self.stack[-1][1] if self.stack else 0] += 1
         if tag not in VOID and tag not in ("html", "head", "body"):
             self._push(tag, attributes)
 
@@ -187,6 +214,8 @@ class _Parser:
             self._pop_to(tag)
 
     def data(self, text: str) -> None:
+        if self.hidden:  # also inside a line of text, which goes on behind it
+            return
         self.text.append(text)
         if "a" in self.open:
             self.link_size += len(text.strip())
@@ -221,12 +250,18 @@ def parse(source: str) -> Page:
         at, tag = found.end(), found[2].lower()
         if found[1]:
             parser.end(tag)
-        elif tag in HIDDEN:
+        elif tag in RAW:
             close = re.compile(f"</{re.escape(tag)}(?=[\\s/>])", re.I).search(source, at)
             stop = source.find(">", close.end()) if close else -1
+            if stop < 0 and tag in ("textarea", "title"):
+                continue  # never closed: the tag alone is dropped
+            if stop < 0:  # a script that is never closed ends where markup goes on
+                mark = _GOES_ON.search(source, at)
+                at = mark.start() if mark else size
+                continue
             if not found[3].endswith("/"):
                 at = size if stop < 0 else stop + 1
-        else:
+        elif not (tag in HIDDEN and found[3].endswith("/")):
             parser.start(tag, found[3])
     parser._end_block()
     return parser.page
@@ -245,9 +280,12 @@ def score(page: Page) -> Scored:
     """Mark junk and score every container by the text inside, less what is links.
 
     A container that only its names call junk keeps its text if it holds most of the page.
-    An id counts only beside links, a form, or a place outside the page's article.
+    An id, and a class inside an article, count only beside links, a form, or a place outside the page's
+    article.  A form is junk if it has a control for every CONTROL_TEXT characters of its text: around a
+    whole page it is only a wrapping.
     """
     count = len(page.parents)
+    controls = list(page.controls)
     total, links, own = [0] * count, [0] * count, [0.0] * count
     forms, holds = list(page.forms), [tag in ARTICLES for tag in page.tags]
     for container, text, linked, _ in page.blocks:
@@ -255,6 +293,7 @@ def score(page: Page) -> Scored:
         links[container] += linked
     for node in range(count - 1, 0, -1):
         forms[page.parents[node]] |= forms[node]
+        controls[page.parents[node]] += controls[node]
         holds[page.parents[node]] |= holds[node]
         if not page.surely[node]:
             total[page.parents[node]] += total[node]
@@ -264,7 +303,8 @@ def score(page: Page) -> Scored:
         outside = holds[0] and not (holds[node] or page.in_article[node])
         hinted = page.hinted[node] and (outside or forms[node] or 2 * links[node] >= total[node])
         named = (page.named[node] or hinted) and 2 * total[node] <= total[0]
-        junk[node] = junk[page.parents[node]] or page.surely[node] or named
+        form = page.tags[node] == "form" and total[node] <= CONTROL_TEXT * max(1, controls[node])
+        junk[node] = junk[page.parents[node]] or page.surely[node] or named or form
     for container, text, linked, _ in page.blocks:
         if not junk[container]:
             own[container] += len(text) - 2 * linked
@@ -364,7 +404,8 @@ def main_text(
         texts = (extract(text.as_py() or "", path.as_py()) for text, path in zip(sources, paths))
         return pa.array(texts, pa.string())
 
-    agreed = host_paths(named, "url", "source")
+    # written, so that the planner sends the paths to the pages unless they are large
+    agreed = stage(host_paths(named, "url", "source"), "host-paths")
     told = named.join(agreed, "host", "left").select(
         "key", "url", extracted(F.col("source"), F.col("path")).alias("text")
     )

@@ -5,6 +5,7 @@ import itertools
 import os
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -541,3 +542,99 @@ def test_pipeline(spark):
     assert {r.doc_id: r.decoded_sha256 for r in rows} == {
         i: hashlib.sha256(texts[i].encode()).hexdigest() for i in last
     }
+
+
+@pytest.mark.parametrize("tag", "canvas object svg select audio video noscript template script style textarea title".split())
+def test_html_unclosed_elements_end_with_their_parent(tag):
+    text = "<p>A paragraph of the article, long enough to count.</p>"
+    page = f"<body><article><h1>Head</h1>{text}<div><{tag}></div>{text * 9}</article><footer>end</footer></body>"
+    lines = html_extract.extract(page, html_extract.best_path(page)).split("\n")
+    assert lines == ["Head"] + ["A paragraph of the article, long enough to count."] * 10
+
+
+def test_html_form_around_the_page():
+    text = "<p>A paragraph of the article, long enough to count.</p>" * 12
+    fields = "<input type=hidden name=state value=1><label>Find</label><input name=q><button>Go</button>"
+    for body in (text, f"<article>{text}</article>"):
+        page = f"<form id=aspnetForm method=post>{fields}<div class=menu><a href=a>Home</a></div>{body}</form>"
+        lines = html_extract.extract(page, html_extract.best_path(page)).split("\n")
+        assert lines == ["A paragraph of the article, long enough to count."] * 12
+    page = f"<div class=post>{text}</div><form><label>Mail</label>Write to us <input><input><select><option>a</select></form>"
+    assert "Write" not in html_extract.extract(page, html_extract.best_path(page))
+
+
+def test_html_hidden_elements_inside_a_line():
+    page = "<article><p>One <svg><text>x</text></svg>line <button>Go</button>goes on.</p><p>Two</p></article>"
+    assert html_extract.extract(page, html_extract.best_path(page)) == "One line goes on.\nTwo"
+
+
+def test_html_class_names_inside_articles():
+    text = "<p>A paragraph of the article, long enough to count.</p>"
+    page = (
+        f"<article><header><h1>Title</h1></header><div class=entry-header><h2>Part</h2></div><p class=ad-hoc>ad hoc</p>"
+        f"<h2 class=search>Search trees</h2><section class=related-work>{text}</section>"
+        f"<section class=discussion>{text}</section>{text * 8}<div class=ad>Buy it</div>"
+        "<div class=menu><a href=a>one</a> <a href=b>two</a></div><div class=comments><p>Nice post</p></div></article>"
+    )
+    lines = html_extract.extract(page, html_extract.best_path(page)).split("\n")
+    head = ["Title", "Part", "ad hoc", "Search trees"]
+    assert lines == head + ["A paragraph of the article, long enough to count."] * 10
+
+
+def test_html_pages_are_not_shuffled(spark):
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
+    plan = html_extract.main_text(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_html_hard_rows(spark):
+    page = "<article><h1>T</h1><p>" + "long words " * 30_000 + "</p></article>"
+    rows = [(1, "http://a.b/c", page), (1, "http://a.b/c", page), (2, None, None), (None, "x", ""), (3, "http://a.b/d", "<svg>")]
+    docs = spark.createDataFrame([(*r, "t", "h", 1) for r in rows], "page_id bigint, url string, html string, text string, host string, n_chars int")
+    got = html_extract.main_text(docs).collect()
+    assert sorted((r.page_id or 0, r.n_chars) for r in got) == [(0, 0), (1, 2 + 11 * 30_000 - 1), (1, 2 + 11 * 30_000 - 1), (2, 0), (3, 0)]
+
+
+def test_exact_duplicates_without_keys(spark):
+    rows = [(None, f"text {i % 700}") for i in range(3000)] + [(1, "text 5"), (2, "text 5"), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for modulus in (exact_dedup.PRIME, 3):
+        got = exact_dedup.exact_duplicates(docs, modulus=modulus).collect()
+        assert len(got) == len(rows)
+        by_text = {}
+        for row in got:
+            by_text.setdefault(row.text_sha256, set()).add((row.keep_id, row.group_size))
+        assert len(by_text) == 701
+        five = hashlib.sha256(b"text 5").hexdigest()
+        assert by_text.pop(five) == {(1, 7)}
+        assert by_text.pop(hashlib.sha256(b"").hexdigest()) == {(None, 2)}
+        assert {len(one) for one in by_text.values()} == {1} and {k for one in by_text.values() for k, _ in one} == {None}
+
+
+def test_sharding_by_text_keys(spark):
+    rows = [(f"a-{i}", "x" * (i % 9)) for i in range(4000)] + [("a-1", "x"), (None, "n")]
+    docs = spark.createDataFrame(rows, "name string, text string")
+    told = sharding.assign(docs, 40, key="name").collect()
+    assert len(told) == len(rows)
+    assert all(r.grown_shard in (r.shard, 40) for r in told)
+    held = {}
+    for row in told:
+        held.setdefault(row.shard, []).append(row.slot)
+    assert len(held) == 40 and all(sorted(slots) == list(range(len(slots))) for slots in held.values())
+    assert len({r.shard for r in told if r.name == "a-1"}) == 1
+
+
+def test_pii_spans_in_great_number():
+    found = [
+        {"kind": 3, "start": at * 7, "stop": at * 7 + 9, "code": 0, "size": 1} for at in range(100_000)
+    ]
+    weights = np.zeros(pii._features(np.array([3]), np.array([0]), np.array([1])).shape[1])
+    begun = time.perf_counter()
+    spans = pii.decide(found, weights, 0.5)
+    assert time.perf_counter() - begun < 4
+    assert spans == [(3, at * 7, at * 7 + 9) for at in range(0, 100_000, 2)]
+
+
+@pytest.mark.parametrize("text", ["JANE [AT] EXAMPLE [DOT] COM", "jane at example.com", "Jane (At) Example (Dot) Com"])
+def test_pii_spelled_addresses_in_any_case(text):
+    assert any(kind == 0 for kind, *_ in pii.candidates(text, []))

@@ -113,7 +113,8 @@ def base_spans(text: str) -> list[Span]:
 
 
 def _looser(text: str) -> Iterator[Span]:
-    if "dot" in text or "[at]" in text or "(at)" in text:
+    lowered = text.lower()
+    if any(mark in lowered for mark in (" at ", "[at]", "(at)", "dot")):
         for found in _SPELLED_HOST.finditer(text):
             local = _LOCAL_PART.search(text[max(0, found.start() - 64) : found.start()])
             if local:
@@ -236,6 +237,9 @@ def train(counted: np.ndarray, steps: int = 500) -> np.ndarray:
     return weights
 
 
+STRETCH = 64  # characters
+
+
 def decide(found: list[dict], weights: np.ndarray, threshold: float) -> list[Span]:
     """Base spans and the accepted candidates that overlap no span before them."""
     if not found:
@@ -243,11 +247,23 @@ def decide(found: list[dict], weights: np.ndarray, threshold: float) -> list[Spa
     table = np.array([list(one.values()) for one in found], np.int64)
     guess = 1 / (1 + np.exp(-_features(table[:, 0], table[:, 3], table[:, 4]) @ weights))
     base = table[:, 3] // 3 ** (LABELERS - 1) == YES
-    spans = [tuple(row[:3].tolist()) for row in table[base]]
-    for row in table[~base & (guess >= threshold)]:
-        kind, start, end = row[:3].tolist()
-        if all(end <= b or start >= e for _, b, e in spans):
-            spans.append((kind, start, end))
+    spans: list[Span] = []
+    near: dict[int, list[Span]] = {}  # the spans that reach into each stretch of the text
+
+    def take(span: Span) -> None:
+        spans.append(span)
+        for stretch in range(span[1] // STRETCH, span[2] // STRETCH + 1):
+            near.setdefault(stretch, []).append(span)
+
+    def free(start: int, end: int) -> bool:
+        stretches = range(start // STRETCH, end // STRETCH + 1)
+        return all(end <= b or start >= e for s in stretches for _, b, e in near.get(s, ()))
+
+    for row in table[base, :3].tolist():
+        take(tuple(row))
+    for kind, start, end in table[~base & (guess >= threshold), :3].tolist():
+        if free(start, end):
+            take((kind, start, end))
     return sorted(spans, key=lambda span: (span[1], span[0]))
 
 

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scrubwell.functions.hashing import IDENTITY, content_identity
 from scrubwell.session import stage
 
 PRIME = (1 << 61) - 1
@@ -118,15 +119,19 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _mixed_classes(docs: DataFrame, digests: DataFrame, classes: DataFrame) -> DataFrame:
     """``length, print`` of the classes whose texts are not all the same.
 
-    Equal chunks meet in the task that reads them, so a class that holds a third
+    Texts are found again by their key, those without one by a hash of their content.  Equal
+    chunks meet in the task that reads them, so a class that holds a third
     of all rows sends one copy per task and chunk place.
     """
     many = digests.join(classes.filter("rows > 1"), ["length", "print"]).select(
-        "key", "length", "print", "sha"
-    )
-    texts = docs.join(many.distinct(), F.equal_null(docs["key"], many["key"])).select(
-        "text", "length", "print", "sha"
+        "key", *IDENTITY, "length", "print", "sha"
     )
+    keyed = many.filter("key IS NOT NULL").drop(*IDENTITY).distinct()
+    keyless = many.filter("key IS NULL").drop("key").distinct()
+    nameless = docs.filter("key IS NULL").select("text").withColumns(content_identity(F.col("text")))
+    columns = ["text", "length", "print", "sha"]
+    texts = docs.join(keyed, "key").select(*columns)
+    texts = texts.unionAll(nameless.join(keyless, list(IDENTITY)).select(*columns))
     pieces = texts.mapInArrow(
         _chunks, "length bigint, print bigint, place bigint, piece binary"
     ).distinct()
@@ -148,7 +153,11 @@ def exact_duplicates(
     """
     named = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     digests = stage(
-        named.select("key", digest(F.col("text"), modulus).alias("d")).select("key", "d.*"),
+        named.select(
+            "key",
+            *[F.when(F.col("key").isNull(), value).alias(name) for name, value in content_identity(F.col("text")).items()],
+            digest(F.col("text"), modulus).alias("d"),
+        ).select("key", *IDENTITY, "d.*"),
         "digests",
     )
     classes = digests.groupBy("length", "print").agg(F.count("*").alias("rows"))

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scrubwell.session import stage
 
@@ -37,12 +38,14 @@ def mix_sql(x: str) -> str:
 
 
 def with_record(docs: DataFrame, key: str, name: str = RECORD) -> DataFrame:
-    """``docs`` with 32 hash bits of a bigint key; a null key counts as 0.
+    """``docs`` with 32 hash bits of a key; a null key counts as 0.
 
-    The steps are columns of their own: written into one another, the mixing
+    Whole numbers are taken as they are, keys of other types by a hash of their text.  The steps are columns of their own: written into one another, the mixing
     functions would repeat their input many times over.
     """
-    number = F.coalesce(F.col(key).cast("bigint"), F.lit(0))
+    whole = isinstance(docs.schema[key].dataType, T.IntegralType)
+    named = F.col(key).cast("bigint") if whole else F.xxhash64(F.col(key).cast("string"))
+    number = F.when(F.col(key).isNull(), 0).otherwise(named)
     high = F.shiftright(number, 32).bitwiseAND(F.lit(WORD))
     stepped = docs.withColumn(name, _mix(high))
     return stepped.withColumn(name, number.bitwiseAND(F.lit(WORD)).bitwiseXOR(F.col(name))).withColumn(

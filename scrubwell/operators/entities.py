@@ -40,7 +40,9 @@ def _prepared(terms: DataFrame, cut: Cut, name: str) -> DataFrame:
 
 
 def prepare_gazetteer(gazetteer: DataFrame, labels: tuple[str, ...] = LABELS) -> DataFrame:
-    """``term, label, parts, slot``, one row per name, as a written table."""
+    """``term, label, parts, slot``, one row per name, as a written table; one that is stays as it is."""
+    if "slot" in gazetteer.columns:
+        return gazetteer
     trimmed = gazetteer.withColumn("term", strip(F.col("term")))
     named = trimmed.filter(F.col("label").isin(*labels) & (F.col("term") != ""))
     return _prepared(named, pieces, "gazetteer")

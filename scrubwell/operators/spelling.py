@@ -7,6 +7,8 @@ texts are changed only where a word has a suggestion.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -95,24 +97,46 @@ def deletion_keys(word: Column, limit: int = MAX_DISTANCE) -> Column:
     )
 
 
-def _nearest(unknown: DataFrame, vocabulary: DataFrame, limit: int) -> DataFrame:
+@dataclass(frozen=True)
+class Vocabulary:
+    """A vocabulary ready for many lookups: its terms and their deletion keys, as written tables."""
+
+    terms: DataFrame
+    keys: dict[int, DataFrame]
+
+
+def prepare_vocabulary(vocabulary: DataFrame | Vocabulary) -> Vocabulary:
+    """Write the terms and their deletion keys once.
+
+    The keys are written because the planner would guess the size of an exploded table from
+    the size before, and broadcast too much.
+    """
+    if isinstance(vocabulary, Vocabulary):
+        return vocabulary
+    terms = stage(vocabulary.select("term", "freq"), "vocabulary")
+    keys = {
+        limit: stage(
+            terms.select(
+                "term",
+                "freq",
+                letters_sorted(F.col("term")).alias("term_letters"),
+                F.explode(deletion_keys(F.col("term"), limit)).alias("key"),
+            ),
+            f"term-keys-{limit}",
+        )
+        for limit in range(1, MAX_DISTANCE + 1)
+    }
+    return Vocabulary(terms, keys)
+
+
+def _nearest(unknown: DataFrame, vocabulary: Vocabulary, limit: int) -> DataFrame:
     """The best term within ``limit`` steps of each word that has one.
 
     Comparing words is the costly part, so the words are dealt to a fixed
-    number of tasks by hash instead of letting small partitions be merged.  The
-    keys of the vocabulary are written first: the planner would guess the size
-    of an exploded table from the size before, and broadcast too much.
+    number of tasks by hash instead of letting small partitions be merged.
     """
     tasks = int(unknown.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    terms = stage(
-        vocabulary.select(
-            "term",
-            "freq",
-            letters_sorted(F.col("term")).alias("term_letters"),
-            F.explode(deletion_keys(F.col("term"), limit)).alias("key"),
-        ),
-        f"term-keys-{limit}",
-    )
+    terms = vocabulary.keys[limit]
     words = unknown.repartition(tasks, "word").select(
         "word",
         letters_sorted(F.col("word")).alias("word_letters"),
@@ -133,24 +157,25 @@ def _nearest(unknown: DataFrame, vocabulary: DataFrame, limit: int) -> DataFrame
     )
 
 
-def suggest_spelling(unknown: DataFrame, vocabulary: DataFrame) -> DataFrame:
+def suggest_spelling(unknown: DataFrame, vocabulary: DataFrame | Vocabulary) -> DataFrame:
     """``word, term, distance``: the nearest term, the most frequent among equals.
 
     One step is tried before two: a word with a neighbour at one step needs no
     look at the many more pairs that share a key of the wider search.
     """
+    vocabulary = prepare_vocabulary(vocabulary)
     near = stage(_nearest(unknown, vocabulary, 1), "suggestions-near")
     rest = unknown.join(near, "word", "left_anti")
     return near.unionByName(_nearest(rest, vocabulary, MAX_DISTANCE))
 
 
 def spelling_map(
-    df: DataFrame, vocabulary: DataFrame, text: str = "text", keep: str | None = None
+    df: DataFrame, vocabulary: DataFrame | Vocabulary, text: str = "text", keep: str | None = None
 ) -> DataFrame:
     """The suggestions for all words of ``df``, written once as a table."""
-    terms = stage(vocabulary, "vocabulary")
-    unknown = stage(unknown_words(df, terms, text, keep), "unknown-words")
-    return stage(suggest_spelling(unknown, terms), "suggestions")
+    known = prepare_vocabulary(vocabulary)
+    unknown = stage(unknown_words(df, known.terms, text, keep), "unknown-words")
+    return stage(suggest_spelling(unknown, known), "suggestions")
 
 
 def correct_spelling(df: DataFrame, suggestions: DataFrame, text: str = "text") -> DataFrame:

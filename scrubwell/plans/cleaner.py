@@ -8,6 +8,7 @@ the row, so a run without those is one scan with no shuffle.
 from __future__ import annotations
 
 from collections.abc import Callable
+from copy import copy
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -303,6 +304,15 @@ class Cleaner:
             joined = joined or joins
         return settle(df, computed)
 
+    def prepared(self) -> Cleaner:
+        """This cleaner with its dictionaries written once, for many tables or micro-batches."""
+        ready = copy(self)
+        if self.vocabulary is not None:
+            ready.vocabulary = spelling.prepare_vocabulary(self.vocabulary)
+        if self.gazetteer is not None:
+            ready.gazetteer = entities.prepare_gazetteer(self.gazetteer)
+        return ready
+
     def clean(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         """``cleaned`` and ``findings``, two tables from one pass over the texts.
 

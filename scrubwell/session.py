@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +18,8 @@ BROADCAST_LIMIT = 32 * 1024 * 1024
 # Session setting: deal the rows of every table a query reads to so many tasks.
 # For tables in few unsplittable files; unset, tables are only read.
 INPUT_TASKS = "spark.scrubwell.inputTasks"
+# Paths staged inside the innermost ``scratch``.
+_collected: ContextVar[list[str] | None] = ContextVar("collected", default=None)
 
 
 def local_session(cpus: str | int = "*", app: str = "scrubwell") -> SparkSession:
@@ -65,6 +70,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    if (inside := _collected.get()) is not None:
+        inside.append(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._staged_at = path
     return table
@@ -79,9 +86,28 @@ def release(*tables: DataFrame) -> None:
     for table in tables:
         path = table.__dict__.pop("_staged_at", None)
         if path:
-            spark = table.sparkSession
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            _delete(table.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end whatever is staged inside, also after an error.
+
+    For work whose result is written inside as well, such as a micro-batch.
+    """
+    paths: list[str] = []
+    token = _collected.set(paths)
+    try:
+        yield
+    finally:
+        _collected.reset(token)
+        for path in paths:
+            _delete(spark, path)
 
 
 def settle(df: DataFrame, columns: list[str]) -> DataFrame:

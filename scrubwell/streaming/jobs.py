@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from scrubwell.plans.cleaner import TABLE_STEPS, Cleaner
+from scrubwell.session import scratch
 from scrubwell.sources.corpus import CORPUS_SCHEMA
 
 SEEN = "seen"
@@ -68,13 +69,16 @@ def stream_clean_batches(
 ) -> StreamingQuery:
     """Clean each micro-batch as a table of its own, with all steps.
 
-    A batch that is run again after a failure replaces its own folder, so no
-    row is written twice.
+    Dictionaries are written once, before the first batch, and joined to every batch; what a
+    batch writes for itself is deleted when its result is there.  A batch that is run
+    again after a failure replaces its own folder, so no row is written twice.
     """
+    ready = cleaner.prepared()
 
     def run(batch: DataFrame, number: int) -> None:
         target = f"{path.rstrip('/')}/batch={number}"
-        cleaner.transform(batch).write.mode("overwrite").format(format).save(target)
+        with scratch(batch.sparkSession):
+            ready.transform(batch).write.mode("overwrite").format(format).save(target)
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return _start(writer, available_now).start()

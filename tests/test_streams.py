@@ -1,8 +1,11 @@
 """Streams give what the batch jobs give."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
+from scrubwell import session
 from scrubwell.plans.cleaner import Cleaner
 from scrubwell.plans.config import NO_TABLES, CleanConfig
 from scrubwell.sources.corpus import CORPUS_SCHEMA
@@ -47,6 +50,28 @@ def test_stream_batches_run_the_joining_steps(spark, tmp_path):
         jobs.stream_clean(jobs.read_stream(spark, source), cleaner, out, state)
 
 
+def test_batches_share_dictionaries_and_leave_no_scratch(spark, tmp_path, monkeypatch):
+    source, out, state, shared = (str(tmp_path / name) for name in ("in", "out", "state", "shared"))
+    for rows in ([(1, "helo Ann Lee", "en", "s")], [(2, "worle of Bob", "en", "s")], [(3, "hello Ann Lee", "en", "s")]):
+        lines(spark, source, rows, None)
+    cleaner = Cleaner(
+        CleanConfig(**NO_TABLES | {"spell_check": True, "replace_entities": True}),
+        vocabulary=spark.createDataFrame([("hello", 5), ("world", 4), ("of", 9)], "term string, freq bigint"),
+        gazetteer=spark.createDataFrame([("Ann Lee", "PERSON"), ("Bob", "PERSON")], "term string, label string"),
+    )
+    monkeypatch.setattr(session, "scratch_root", lambda _: shared)
+    stream = jobs.read_stream(spark, source, files_per_batch=1)
+    jobs.stream_clean_batches(stream, cleaner, out, state).awaitTermination()
+    got = {row.doc_id: (row.text, row.batch) for row in spark.read.parquet(out).collect()}
+    assert {key: text for key, (text, _) in got.items()} == {
+        1: "hello [NAME_REDACTED]", 2: "world of [NAME_REDACTED]", 3: "hello [NAME_REDACTED]",
+    }
+    assert len({batch for _, batch in got.values()}) == 3
+    # one dictionary each for three batches, and nothing that a batch wrote for itself
+    left = sorted(name.rsplit("-", 1)[0] for name in os.listdir(shared))
+    assert left == ["gazetteer", "term-keys-1", "term-keys-2", "vocabulary"]
+
+
 def arrivals(spark, source, batches, delay, out, state, **options):
     """Rows ``(second, doc_id, text)`` batch by batch; let through, and still waiting."""
     made = [

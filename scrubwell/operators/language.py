@@ -16,6 +16,7 @@ from scrubwell.functions.hashing import IDENTITY, content_identity
 from scrubwell.functions.text import character_grams
 from scrubwell.session import stage
 
+MOST_LANGUAGES = 250
 GRAM_SIZE = 3
 
 
@@ -52,7 +53,8 @@ def train_language_model(
 ) -> LanguageModel:
     """Count grams per language and smooth the counts by one.
 
-    ``languages`` are all labels of the training table unless given.
+    ``languages`` are all labels of the training table unless given; a table with more than
+    MOST_LANGUAGES of them is an error, as a model has two columns for each.
 
     Counts combine before the shuffle, so a language holding most of the rows
     sends no more than one row per gram and task.  Only the totals, one row,
@@ -60,7 +62,10 @@ def train_language_model(
     """
     if languages is None:
         labels = df.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang")).distinct()
-        languages = tuple(sorted(row.lang for row in labels.collect()))
+        found = labels.limit(MOST_LANGUAGES + 1).collect()
+        if len(found) > MOST_LANGUAGES:
+            raise ValueError(f"more than {MOST_LANGUAGES} labels in {lang}; name the languages to train")
+        languages = tuple(sorted(row.lang for row in found))
     grams = df.select(F.col(lang).alias("lang"), F.explode(_grams(F.col(text))).alias("gram"))
     counts = stage(
         grams.filter(F.col("lang").isin(*languages))

@@ -201,6 +201,7 @@ class Cleaner:
         if cfg.anonymize_currency:
             pii += redact.candidate_currency(key)
         pii += redact.phone(tokens, key)
+        # --- fixed values: the audit tags of the steps ---
         available: dict[str, Step | None] = {
             "normalize_unicode": self._rewrite("normalize_unicode", "NFC", normalize.normalize_nfc),
             "translate_lang": self._route if self.language_model else None,

@@ -9,6 +9,7 @@ from dataclasses import dataclass, fields
 NO_TABLES = {"translate_lang": False, "spell_check": False, "replace_entities": False}
 
 
+# --- fixed values: names, order and defaults of the switches ---------------
 @dataclass(frozen=True)
 class CleanConfig:
     """Switches of the cleaner.  The order of the fields is the order of the steps."""

@@ -121,32 +121,36 @@ def replay_delay(rows: DataFrame, time: str, least: str = "10 minutes") -> str:
 # --- one row per text -------------------------------------------------------
 
 
-class _FirstSight(StatefulProcessor):
-    """Lets the first row of a text pass and remembers the text for a while."""
+def _first_sight(remember_ms: int) -> StatefulProcessor:
+    """Lets the first row of a text pass and remembers the text for a while.
 
-    def __init__(self, remember_ms: int):
-        self.remember_ms = remember_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.seen = handle.getValueState(SEEN, "at bigint")
+    The class is made here so that it travels with its code: the process that sets a
+    stateful query up need not find this package.
+    """
 
-    def handleInputRows(self, key, rows, timerValues):
-        if self.seen.exists():
+    class FirstSight(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.seen = handle.getValueState(SEEN, "at bigint")
+
+        def handleInputRows(self, key, rows, timerValues):
+            if self.seen.exists():
+                return iter(())
+            # one row a window: the order of the rows inside was settled by the aggregate
+            first = min(rows, key=lambda row: row["_window"])
+            at = int(first["_window"].timestamp() * 1000)
+            self.seen.update((at,))
+            self.handle.registerTimer(at + remember_ms)
+            return iter([Row(text_hash=key[0], _row=first["_row"])])
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            self.seen.clear()
             return iter(())
-        # one row a window: the order of the rows inside was settled by the aggregate
-        first = min(rows, key=lambda row: row["_window"])
-        at = int(first["_window"].timestamp() * 1000)
-        self.seen.update((at,))
-        self.handle.registerTimer(at + self.remember_ms)
-        return iter([Row(text_hash=key[0], _row=first["_row"])])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.seen.clear()
-        return iter(())
+        def close(self) -> None:
+            pass
 
-    def close(self) -> None:
-        pass
+    return FirstSight()
 
 
 def dedupe_stream(
@@ -179,7 +183,7 @@ def dedupe_stream(
     kind = T.StructType([firsts.schema["text_hash"], firsts.schema["_row"]])
     milliseconds = _milliseconds(spark, remember)
     passed = firsts.groupBy("text_hash").transformWithState(
-        _FirstSight(milliseconds), kind, "append", "EventTime"
+        _first_sight(milliseconds), kind, "append", "EventTime"
     )
     return passed.select(*[F.col(f"_row.{name}").alias(name) for name in stream.columns], "text_hash")
 

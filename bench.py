@@ -33,6 +33,10 @@ HEADLINE = (
     "spell_correct",
     "redact_entities",
     "stream_clean",
+    "scan_variant",
+    "redact_profanity_table",
+    "dedupe_incremental",
+    "report_merged",
 )
 LONG = 5.0
 

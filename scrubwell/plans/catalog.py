@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from scrubwell import rules
 from scrubwell.functions import lengths, normalize, predicates, redact, repeats, text
+from scrubwell.functions.hashing import IDENTITY, content_identity
 from scrubwell.operators import (
     dedupe,
     entities,
@@ -1229,19 +1230,24 @@ def report_merged(spark: SparkSession, folder: str) -> DataFrame:
     The number of different texts is a sketch's: it is held against the exact one, within four
     times its stated error.
     """
-    path = scratch_path(spark, "reports")
+    path, originals = scratch_path(spark, "reports"), scratch_path(spark, "originals")
     cleaned = stage(_cleaned(spark, folder), "cleaned")
     for run in range(3):
         part = cleaned.filter(F.expr(f"substr(md5(cast(doc_id as string)), 1, 1) IN {RUN_DIGITS[run]}"))
         reports.store_report(reports.run_report(part, ["source"]), path, f"r{run}")
-    merged = reports.merged_report(reports.stored_reports(spark, path), ["source"], top=1)
-    found = cleaned.select("source", "text", F.explode("findings.tag").alias("tag"))
-    exact = found.groupBy("source", "tag").agg(F.count_distinct("text").alias("exact"))
+        reports.store_report(reports.original_counts(part, ["source"]), originals, f"r{run}")
+    merged = reports.merged_report(
+        reports.stored_reports(spark, path), ["source"], top=1, counts=reports.stored_reports(spark, originals)
+    )
+    # hashes of the texts are shuffled, once per tag, not the texts
+    named = cleaned.filter(F.col("text").isNotNull()).withColumns(content_identity(F.col("text")))
+    found = named.select("source", *IDENTITY, F.explode(F.array_distinct("findings.tag")).alias("tag"))
+    exact = found.groupBy("source", "tag").agg(F.count_distinct(*IDENTITY).alias("exact"))
     off = F.abs(F.col("distinct_texts") - F.col("exact")) / F.col("exact")
     return merged.join(exact, ["source", "tag"]).select(
         "source", "tag", "changes", "texts",
         (off <= 4 * reports.distinct_error()).alias("distinct_close"),
-        F.col("top_originals")[0]["count"].alias("most_frequent"),
+        F.get("top_originals", F.lit(0))["count"].alias("most_frequent"),
     )
 
 

@@ -51,6 +51,24 @@ def test_sketches_keep_their_error(spark, tmp_path):
     assert abs(row.top_originals[0]["count"] - 3001) <= 2 * 30_000 / 1000
 
 
+def test_originals_that_nearly_all_differ_are_counted(spark, tmp_path):
+    """A sketch that follows fewer originals than there are names none of them."""
+    path, counted = str(tmp_path / "reports"), str(tmp_path / "originals")
+    docs = spark.range(4000).selectExpr(
+        "id AS doc_id", "concat('mail u', if(id = 9, 8, id), '@example.com') AS text", "cast(null AS string) AS source"
+    )
+    done = CLEANER.transform(docs)
+    for run in range(2):
+        part = done.filter(f"doc_id % 2 = {run}")
+        reports.store_report(reports.run_report(part, ["source"], tracked=100), path, f"r{run}")
+        reports.store_report(reports.original_counts(part, ["source"]), counted, f"r{run}")
+    row = reports.merged_report(
+        reports.stored_reports(spark, path), ["source"], 2, 100, counts=reports.stored_reports(spark, counted)
+    ).first()
+    assert (row.source, row.tag, row.runs, row.changes) == (None, "EMAIL", 2, 4000)
+    assert [tuple(item) for item in row.top_originals] == [("u8@example.com", 2), ("u0@example.com", 1)]
+
+
 def test_report_of_nothing(spark):
     assert reports.run_report(cleaned(spark, []), ["source"]).count() == 0
     assert reports.run_report(cleaned(spark, [(1, None, None)])).count() == 0

@@ -1,7 +1,8 @@
-"""Edit distance with neighbour swaps, from built-in functions."""
+"""Edit distance with neighbour swaps, from built-in functions and, for many pairs, an Arrow function."""
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -79,3 +80,49 @@ def swap_distance(
             F.when(is_swap_and_step(left, right), 2),
         )
     )
+
+
+def alignment_distance(left: Column, right: Column, limit: int = 2) -> Column:
+    """What :func:`swap_distance` gives, by an Arrow function: far faster on many close pairs.
+
+    What two words share at both ends is set aside.  Where they first differ one step
+    must be made; after it, what is left may be one step apart at most.
+    """
+
+    @F.arrow_udf("int")
+    def steps(lefts: pa.Array, rights: pa.Array) -> pa.Array:
+        def differing(a: str, b: str) -> tuple[str, str]:
+            short, start = min(len(a), len(b)), 0
+            while start < short and a[start] == b[start]:
+                start += 1
+            end = 0
+            while end < short - start and a[-1 - end] == b[-1 - end]:
+                end += 1
+            return a[start : len(a) - end], b[start : len(b) - end]
+
+        def within_one(a: str, b: str) -> bool:
+            a, b = differing(a, b)
+            return len(a) < 2 and len(b) < 2 or len(a) == len(b) == 2 and a == b[::-1]
+
+        def distance(a: str | None, b: str | None) -> int | None:
+            if a is None or b is None:
+                return None
+            if a == b:
+                return 0
+            if within_one(a, b):
+                return 1
+            if limit == 1 or abs(len(a) - len(b)) > 2:
+                return None
+            a, b = differing(a, b)
+            near = (
+                within_one(a[1:], b[1:])
+                or within_one(a[1:], b)
+                or within_one(a, b[1:])
+                or a[:2] == b[1::-1] and within_one(a[2:], b[2:])
+            )
+            return 2 if near else None
+
+        pairs = zip(lefts.to_pylist(), rights.to_pylist())
+        return pa.array([distance(a, b) for a, b in pairs], pa.int32())
+
+    return steps(left, right)

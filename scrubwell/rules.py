@@ -103,9 +103,12 @@ WHOLE_WORDS = r"(?Us)^\w(?:.*\w)?\z"
 # Whatever holds a digit, a slash, an at sign, an underscore or colon-separated hex:
 # numbers, addresses of machines, paths, identifiers.
 GUARDED_TOKEN = r"\S*(?:[0-9/\\@_]|[0-9A-Fa-f]:[0-9A-Fa-f:])\S*"
+# A space, or a word between spaces with one mark behind it at most.  None of the alternatives for
+# addresses and guarded tokens can match there, so asking this first settles most of a text cheaply.
+PLAIN_PIECE = r"[ \n]|(?<![^ \n])[a-zA-Z\xC0-\u024F]++(?=[.,;!?]?[ \n])"
 # The same cut with web and e-mail addresses and such tokens kept whole.
 GUARDED_PIECES = (
-    "(?U)(?i:" + URL.removeprefix("(?Ui)") + ")|(?i:" + EMAIL.removeprefix("(?Ui)") + ")|"
+    "(?U)" + PLAIN_PIECE + "|(?i:" + URL.removeprefix("(?Ui)") + ")|(?i:" + EMAIL.removeprefix("(?Ui)") + ")|"
     + GUARDED_TOKEN + "|"
     + WORD_PIECES.removeprefix("(?U)")
 )

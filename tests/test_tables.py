@@ -52,6 +52,38 @@ def test_distance_and_keys_equal_brute_force(spark, limit):
         assert row.meet or true > limit, row
 
 
+def test_words_alike_only_in_front_share_no_key(spark):
+    """Words that begin alike are many: if they met, the pairs would grow with their square."""
+    tails = [a + b for a in "bcdfgh" for b in "klmnp"]
+    words = spark.createDataFrame([(f"ansehen{t}er",) for t in tails], "word string")
+    terms = spark.createDataFrame([(f"ansehen{t[::-1]}ung",) for t in tails], "term string")
+    left = words.select("word", F.explode(spelling.deletion_keys(F.col("word"))).alias("key"))
+    right = terms.select("term", F.explode(spelling.deletion_keys(F.col("term"))).alias("key"))
+    assert left.join(right, "key").count() == 0
+
+
+@pytest.mark.parametrize("limit", [1, 2])
+def test_arrow_distance_equals_built_in(spark, limit):
+    rng = random.Random(limit + 10)
+    words = ["".join(rng.choice("aß𝄞") for _ in range(rng.randint(0, 7))) for _ in range(90)] + [None]
+    a, b = F.col("a"), F.col("b")
+    pairs = spark.createDataFrame([(x, y) for x in words for y in words], "a string, b string")
+    plain = distance.swap_distance(a, b, distance.letters_sorted(a), distance.letters_sorted(b), limit)
+    assert pairs.filter(~plain.eqNullSafe(distance.alignment_distance(a, b, limit))).count() == 0
+
+
+def test_plain_words_settled_first_leave_the_cut_as_it_is(texts):
+    from scrubwell import rules
+
+    slow = rules.GUARDED_PIECES.replace(rules.PLAIN_PIECE + "|", "")
+    assert slow != rules.GUARDED_PIECES
+    rng = random.Random(5)
+    parts = ["www", "WWW.", "a@b.co", "http", "://", "é", "ab", "x_y", "be:", ":", "1", " ", " ", "\n", "\u00a0", "\x1c", ".", ",", "!?", "/", "×"]
+    made = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(3000)]
+    cut = [F.regexp_extract_all("text", F.lit(p), F.lit(0)) for p in (slow, rules.GUARDED_PIECES)]
+    assert texts(*made).filter(cut[0] != cut[1]).count() == 0
+
+
 def test_suggestions_equal_brute_force(spark):
     rng = random.Random(7)
     def word():

@@ -46,12 +46,18 @@ class Rule:
     gate: str = "none"
     needs: tuple[str, ...] = ()
 
+    @property
+    def plain(self) -> bool:
+        """Whether every match is replaced by the token: one pass over a text, its matches need not be known."""
+        return not self.key and self.accept is None and self.gate == "none"
+
+    def _held(self, text: Column) -> Column:
+        return reduce(or_, [text.contains(literal) for literal in self.needs])
+
     def candidates(self, text: Column) -> Column:
         """All matches; NULL or empty where there are none."""
         found = matches(text, self.pattern)
-        if not self.needs:
-            return found
-        return F.when(reduce(or_, [text.contains(literal) for literal in self.needs]), found)
+        return F.when(self._held(text), found) if self.needs else found
 
     def _first_passes(self, candidates: Column) -> Column:
         first = F.get(candidates, F.lit(0))
@@ -87,8 +93,9 @@ class Rule:
         """
         decides = self.accept is not None and self.gate == "none"
         if candidates is None:
-            if not self.key and not decides and self.gate == "none":
-                return F.regexp_replace(text, self.pattern, literal_replacement(self.token))
+            if self.plain:
+                replaced = F.regexp_replace(text, self.pattern, literal_replacement(self.token))
+                return F.when(self._held(text), replaced).otherwise(text) if self.needs else replaced
             return let(
                 text, lambda once: let(self.candidates(once), lambda hits: self.apply(once, hits))
             )
@@ -107,12 +114,15 @@ def profanity_pattern(words: tuple[str, ...] = rules.PROFANITY) -> str | None:
     listed = sorted({word for word in words if word})
     if not listed:
         return None
-    return r"(?Ui)\b(?:" + "|".join(re.escape(word) for word in listed) + r")\b"
+    first = "".join(sorted({word[0] for word in listed}))
+    begins = f"(?=[{first}])" if first.isascii() and first.isalnum() else ""
+    return rf"(?Ui){begins}\b(?:" + "|".join(re.escape(word) for word in listed) + r")\b"
 
 
 # --- fixed values: what every match of a pattern holds ---------------------
 _NEEDS = {
     rules.EMAIL: ("@",),
+    rules.IPV6_COLON: (":",),
     rules.UUID: ("-",),
     rules.MAC: (":", "-"),
     rules.SSN: ("-",),
@@ -152,8 +162,9 @@ def ipv4(tokens=rules.TOKENS, key=None, gate="none") -> list[Rule]:
 
 
 def ipv6(tokens=rules.TOKENS, key=None, gate="none") -> list[Rule]:
-    accept = is_ipv6 if gate == "none" else None
-    return [_rule("IPV6", rules.IPV6, tokens["IPV6"], accept, key, gate)]
+    if gate == "none":
+        return [_rule("IPV6", rules.IPV6_COLON, tokens["IPV6"], is_ipv6, key, gate)]
+    return [_rule("IPV6", rules.IPV6, tokens["IPV6"], None, key, gate)]
 
 
 def uuid(tokens=rules.TOKENS, key=None, gate="none") -> list[Rule]:

@@ -105,8 +105,10 @@ def split_sentences(text: Column) -> Column:
 
 def _without_repeated_words(sentence: Column) -> Column:
     """The closing mark is set aside, so ``go go.`` holds the word twice."""
-    body = F.regexp_replace(sentence, r"[.?!]\z", "")
-    end = F.regexp_extract(sentence, r"[.?!]\z", 0)
+    last = F.right(sentence, F.lit(1))
+    marked = last.isin(".", "?", "!")
+    body = F.when(marked, F.left(sentence, F.length(sentence) - 1)).otherwise(sentence)
+    end = F.when(marked, last).otherwise("")
     return F.concat(F.array_join(drop_adjacent(space_tokens(body)), " "), end)
 
 

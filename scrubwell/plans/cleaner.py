@@ -136,7 +136,10 @@ class Cleaner:
             ).otherwise(F.col("findings"))
             return self._replace(
                 df.select("*", rule.candidates(F.col(self.text)).alias("_hits")),
-                {"findings": more, self.text: rule.apply(F.col(self.text), hits)},
+                {
+                    "findings": more,
+                    self.text: rule.apply(F.col(self.text), None if rule.plain else hits),
+                },
                 drop="_hits",
             )
 

@@ -18,11 +18,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scrubwell.session import release, stage
+
 SPACE = 1 << 18  # hashed terms
 BEGINNINGS = (4, 5, 6)  # bytes of a word's beginnings
 FACTORS = 8
 SAMPLE = 20_000  # labelled rows that the model is fitted on, at most
 THRESHOLD = 0.3
+LEAST = 3  # texts that a term or pair stands in, or it tells nothing
 FIT_TERMS = 4096  # terms of a text that the model is fitted on, at most
 PAIR_TEXTS = 1000  # texts of either kind in which pairs are screened, at most
 PAIR_TERMS = 400  # terms of a text whose pairs are screened, at most
@@ -95,26 +98,82 @@ def _ratio(bad: np.ndarray, seen: np.ndarray, share: float) -> np.ndarray:
     return 2 * (part(bad, seen * share) + part(seen - bad, seen * (1 - share)))
 
 
-def _telling(texts: list[np.ndarray], toxic: np.ndarray, least: int = 3) -> np.ndarray:
-    """The terms that the model is fitted on: those that tell something alone, and those of telling pairs.
+def _alone(seen: np.ndarray, bad: np.ndarray, share: float, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which terms tell something alone, and which of them speak for toxic texts.
 
     A term tells something alone if its share among toxic texts departs from the rest
-    (log-likelihood ratio over 10.8).  Fitting all terms instead costs recall on
+    (log-likelihood ratio over 10.8).
+    """
+    alone = (seen >= least) & (_ratio(bad, seen, share) > 10.8)
+    return alone, alone & (2 * bad >= seen)
+
+
+def _share(toxic: np.ndarray) -> float:
+    return float(np.clip(toxic.mean() if len(toxic) else 0.5, 1e-6, 1 - 1e-6))
+
+
+def _telling(texts: list[np.ndarray], toxic: np.ndarray, least: int = LEAST) -> np.ndarray:
+    """The terms that the model is fitted on: those that tell something alone, and those of telling pairs.
+
+    Fitting all terms instead costs recall on
     held-out texts; pairs are screened on their own, so that none is lost whose terms are neutral.
     """
     flat = np.concatenate([*texts, np.zeros(0, np.int32)])
     owner = np.repeat(toxic, [len(text) for text in texts])
     seen = np.bincount(flat, minlength=SPACE).astype(float)
     bad = np.bincount(flat, weights=owner, minlength=SPACE)
-    share = np.clip(toxic.mean() if len(toxic) else 0.5, 1e-6, 1 - 1e-6)
-    alone = (seen >= least) & (_ratio(bad, seen, share) > 10.8)
-    strong = alone & (2 * bad >= seen)
+    alone, strong = _alone(seen, bad, _share(toxic), least)
     open_ones = [text for text, is_bad in zip(texts, toxic) if is_bad and not strong[text].any()]
     clean = [text for text, is_bad in zip(texts, toxic) if not is_bad]
-    paired = _paired(open_ones, clean, seen, least)
+    paired = _paired(_evenly(open_ones), _evenly(clean), seen, least)
     return np.union1d(np.flatnonzero(alone), paired)
 
 
+def _telling_of(chosen: DataFrame, least: int = LEAST) -> np.ndarray:
+    """The same for a table ``key, toxic, terms`` (unique keys), which stays where it is.
+
+    To the driver go the counts of the terms (SPACE rows at most), a flag per text and the terms of
+    the texts in which pairs are screened, PAIR_TEXTS of either kind at most.
+    """
+    counts = (
+        chosen.select("toxic", F.explode("terms").alias("term"))
+        .groupBy("term")
+        .agg(F.count("*").alias("seen"), F.count_if("toxic").alias("bad"))
+        .toArrow()
+    )
+    seen, bad = np.zeros(SPACE), np.zeros(SPACE)
+    term = counts["term"].to_numpy()
+    seen[term], bad[term] = counts["seen"].to_numpy(), counts["bad"].to_numpy()
+
+    def told(strong: np.ndarray) -> Column:
+        return F.arrow_udf(
+            lambda texts: pa.array([bool(strong[row.values.to_numpy()].any()) for row in texts], pa.bool_()), "boolean"
+        )(F.col("terms"))
+
+    toxic = chosen.agg(F.count("*").alias("rows"), F.count_if("toxic").alias("bad")).first()
+    share = _share(np.repeat([1.0, 0.0], [toxic.bad, toxic.rows - toxic.bad]))
+    alone, strong = _alone(seen, bad, share, least)
+    flags = chosen.select("key", "toxic", told(strong).alias("explained")).toArrow().sort_by("key")
+    is_bad, explained = (flags[name].to_numpy().astype(bool) for name in ("toxic", "explained"))
+    open_ones, clean = _evenly(np.flatnonzero(is_bad & ~explained)), _evenly(np.flatnonzero(~is_bad))
+    if len(open_ones) < least or not len(clean):
+        return np.flatnonzero(alone)
+    picked = flags.select(["key"]).take(np.concatenate([open_ones, clean]))
+    screened = chosen.join(F.broadcast(chosen.sparkSession.createDataFrame(picked)), "key").toArrow().sort_by("key")
+    texts = {True: [], False: []}
+    for label, row in zip(screened["toxic"], screened["terms"]):
+        texts[label.as_py()].append(row.values.to_numpy())
+    return np.union1d(np.flatnonzero(alone), _paired(texts[True], texts[False], seen, least))
+
+
+def _evenly(texts):
+    """PAIR_TEXTS of the texts at most, evenly taken."""
+    if len(texts) <= PAIR_TEXTS:
+        return texts
+    places = np.linspace(0, len(texts) - 1, PAIR_TEXTS).astype(int)
+    return texts[places] if isinstance(texts, np.ndarray) else [texts[i] for i in places]
+
+
 def _pairs_of(text: np.ndarray, seen: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """The pairs of a text's terms, of its PAIR_TERMS rarest that occur ``least`` times or more."""
     text = text[seen[text] >= least]
@@ -129,15 +188,11 @@ def _paired(
 ) -> np.ndarray:
     """Terms of pairs that stand together in toxic texts which no single term explains.
 
-    Pairs are counted by hash over PAIR_TEXTS texts of either kind at most, evenly taken.  A hash tells
+    Pairs are counted by hash.  A hash tells
     something if its ratio passes a bound that no chance pair of all hashes is expected to
     pass; its pairs in toxic texts give the terms.
     """
 
-    def some(texts):
-        return [texts[i] for i in np.linspace(0, len(texts) - 1, PAIR_TEXTS).astype(int)] if len(texts) > PAIR_TEXTS else texts
-
-    bad, clean = some(bad), some(clean)
     if len(bad) < least or not clean:
         return np.empty(0, np.int64)
 
@@ -176,10 +231,14 @@ def fit(
     decay: float = 1e-4,
     batch: int = 512,
     seed: int = 7,
+    kept: np.ndarray | None = None,
 ) -> Model:
-    """Fit by logistic loss, Adagrad steps and seeded shuffles; without rows the model says 0.5."""
+    """Fit by logistic loss, Adagrad steps and seeded shuffles; without rows the model says 0.5.
+
+    ``kept`` names the terms to fit on, sorted, where they were found before.
+    """
     toxic = np.asarray(toxic, float)
-    kept = _telling(texts, toxic)
+    kept = _telling(texts, toxic) if kept is None else kept
     place = np.full(SPACE, -1, np.int32)
     place[kept] = np.arange(len(kept))
     random = np.random.default_rng(seed)
@@ -253,7 +312,8 @@ def train(
     not depend on how the tables are split.  Null labels and null keys do not
     count; of rows that repeat a key the one with the smallest terms is learned
     from.  The chosen keys, ``sample`` at most, are broadcast, so no text is
-    shuffled; the terms of the chosen texts, ``most`` of each at most, go to the driver.
+    shuffled; the terms of the chosen texts, ``most`` of each at most, are written to a table and only
+    those that the model is fitted on go to the driver.
     Scores are always made from all terms of a text.
     """
     known = (
@@ -272,16 +332,26 @@ def train(
         return pa.array([_bounded(row, most) for row in rows], pa.list_(pa.int32()))
 
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    rows = (
+    chosen = (
         texts.join(F.broadcast(known), "key")
         .select("key", "toxic", hashed(F.col("text")).alias("terms"))
         .groupBy("key", "toxic")
         .agg(F.min("terms").alias("terms"))
-        .toArrow()
-        .sort_by("key")
     )
+    chosen = stage(chosen, "labelled")
+    kept = _telling_of(chosen)
+    held = np.zeros(SPACE, bool)
+    held[kept] = True
+
+    @F.arrow_udf("array<int>")
+    def fitted(texts: pa.Array) -> pa.Array:
+        rows = (row.values.to_numpy() for row in texts)
+        return pa.array([row[held[row]] for row in rows], pa.list_(pa.int32()))
+
+    rows = chosen.select("key", "toxic", fitted(F.col("terms")).alias("terms")).toArrow().sort_by("key")
+    release(chosen)
     terms = [row.values.to_numpy() for row in rows["terms"].combine_chunks()] if len(rows) else []
-    return fit(terms, rows["toxic"].to_numpy().astype(float))
+    return fit(terms, rows["toxic"].to_numpy().astype(float), kept=kept)
 
 
 def score(text: Column, model: Model) -> Column:

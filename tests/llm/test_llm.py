@@ -638,3 +638,27 @@ def test_pii_spans_in_great_number():
 @pytest.mark.parametrize("text", ["JANE [AT] EXAMPLE [DOT] COM", "jane at example.com", "Jane (At) Example (Dot) Com"])
 def test_pii_spelled_addresses_in_any_case(text):
     assert any(kind == 0 for kind, *_ in pii.candidates(text, []))
+
+
+def test_toxicity_hands_the_driver_only_fitted_terms(spark, monkeypatch):
+    """The same model as from whole texts, of which only the terms it is fitted on leave the tasks."""
+    draw = random.Random(5)
+    texts, labels = [], []
+    for i in range(600):
+        words = [f"w{draw.randrange(3000)}" + "abcdefghij"[draw.randrange(10)] * 3 for _ in range(40)]
+        bad = i % 5 == 0
+        words += (["vile"] if i % 10 == 0 else ["left", "right"]) if bad else [["left", "right", "vile"][i % 2]]
+        texts.append((i, " ".join(words)))
+        labels.append((i, int(bad)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    handed, fit = [], toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda terms, toxic, **more: handed.append(terms) or fit(terms, toxic, **more))
+    model = toxicity.train(docs, marks)
+    learned = {r.doc_id for r in marks.filter(~toxicity.held_out(F.col("doc_id"))).collect()}
+    whole = [toxicity.Terms().of(text) for i, text in texts if i in learned]
+    plain = fit(whole, np.array([label for i, label in labels if i in learned], float))
+    assert len(plain.weights) > 0
+    for name in ("place", "weights", "factors", "bias"):
+        assert np.array_equal(getattr(model, name), getattr(plain, name))
+    assert sum(map(len, handed[0])) < sum(map(len, whole)) / 4

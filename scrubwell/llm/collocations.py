@@ -1,6 +1,7 @@
 """Phrases whose words stand together more often than chance, counted exactly in two passes.
 
-Partition mining (SON).  The rows a task reads form shards of bounded size.  A shard is
+Partition mining (SON).  The rows a task reads form shards of bounded size; splits of the input are put
+together as long as they fit into one and every core has a task.  A shard is
 mined completely for phrases that reach its share of the support: of ``count`` occurrences
 asked for in a language, the share that the shard's bytes have in the language's bytes.
 Shares add up to ``count``, so a phrase that misses its share in every shard misses ``count``;
@@ -32,6 +33,8 @@ LONGEST = 5  # words of a phrase
 COUNT = 100  # occurrences of a phrase at least
 FIRST = 2000  # phrases returned for each language
 SHARD_WORDS = 12 << 20  # a task closes a shard when it holds so many words
+WORD_BYTES = 5  # of text for each of them, by which tasks are filled
+CHUNK = 1 << 19  # places whose phrases are told apart at once
 SLOT_BITS = 26  # 8 MB of bits
 UNKNOWN = "und"
 BREAK = b"\xff"  # stands for a break between pieces: no byte of UTF-8
@@ -78,18 +81,26 @@ class Shard:
         self.size += len(words)
 
     def languages(self) -> Iterator[tuple[str, np.ndarray, list[bytes]]]:
-        """Language, the words of its documents, a break after each, and the words by number."""
-        for lang, numbers in self.numbers.items():
-            yield lang, np.concatenate(self.parts[lang]), list(numbers)
+        """Language, the words of its documents, a break after each, and the words by number.
+
+        What is given out is held here no longer.
+        """
+        for lang in list(self.numbers):
+            names = list(self.numbers.pop(lang))
+            yield lang, np.concatenate(self.parts.pop(lang)), names
 
 
 def shards(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[Shard]:
-    """The documents of a task (``lang, text, total``) in shards of about ``most`` words."""
+    """The documents of a task (``lang, text, total``) in shards of about ``most`` words.
+
+    A shard may pass ``most`` by a quarter: the little that a full task holds beyond it would be a
+    shard of its own, whose share of the support is so small that it reports every phrase.
+    """
     shard = Shard()
     for batch in batches:
         for lang, text, total in zip(*batch.columns):
             shard.add(lang.as_py(), text.as_py(), total.as_py())
-            if shard.size >= most:
+            if shard.size >= most + most // 4:
                 yield shard
                 shard = Shard()
     if shard.size:
@@ -101,26 +112,41 @@ def grow(
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Length, first places and counts of the distinct accepted phrases, length by length.
 
-    ``accept`` gets the same of all phrases whose parts were accepted.
+    ``accept`` gets the same of all phrases whose parts were accepted.  Phrases that begin alike come
+    together, about CHUNK places at a time, so the working memory is little more than the words.
     """
-    known = np.zeros(len(words) + 1, np.int64)  # number of the accepted phrase that begins here
+    known = np.zeros(len(words) + 1, np.int32)  # number of the accepted phrase that begins here
     for length in range(1, longest + 1):
-        if length == 1:
-            at = np.flatnonzero(words > 0)
-            keys = words[at].astype(np.int64)
-        else:
-            at = np.flatnonzero((known[:-1] > 0) & (known[1:] > 0))
-            keys = known[at] << 32 | known[at + 1]
-        if not len(at):
+        numbered, number = np.zeros_like(known), 0
+        for at in _alike(words, known, length):
+            if length == 1:
+                keys = words[at]
+            else:
+                keys = known[at].astype(np.int64) << 32 | known[at + 1]
+            _, first, phrase, counts = np.unique(
+                keys, return_index=True, return_inverse=True, return_counts=True
+            )
+            good = accept(length, at[first], counts)
+            yield length, at[first][good], counts[good]
+            numbered[at] = np.where(good, number + np.cumsum(good), 0)[phrase]
+            number += int(good.sum())
+        if not number:
             return
-        _, first, phrase, counts = np.unique(
-            keys, return_index=True, return_inverse=True, return_counts=True
-        )
-        good = accept(length, at[first], counts)
-        yield length, at[first][good], counts[good]
-        number = np.where(good, np.cumsum(good), 0)
-        known[:] = 0
-        known[at] = number[phrase]
+        known = numbered
+
+
+def _alike(words: np.ndarray, known: np.ndarray, length: int) -> Iterator[np.ndarray]:
+    """The places of phrases that may be accepted, equal phrases in one array, about CHUNK places in each."""
+    if length == 1:
+        begins, open_ones = words, words > 0
+    else:
+        begins, open_ones = known[:-1], (known[:-1] > 0) & (known[1:] > 0)
+    many = -(-int(np.count_nonzero(open_ones)) // CHUNK)
+    bucket = (begins % max(many, 1)).astype(np.uint16)
+    for own in range(many):
+        picked = np.flatnonzero(open_ones & (bucket == own))
+        if len(picked):
+            yield picked
 
 
 def spell(words: np.ndarray, names: list[bytes], places: np.ndarray, length: int) -> list[str]:
@@ -215,6 +241,21 @@ def _table(candidates: DataFrame, slot_bits: int) -> bytes:
     return table.tobytes()
 
 
+def _tasks(totals: DataFrame, shard_words: int) -> int:
+    """How many tasks the splits of the input are put together to: a shard for each, and none idle.
+
+    Each shard hands on a row for every phrase that is frequent there.  Were there as many shards as the
+    input has splits, both factors of that product would grow with the corpus.  All tasks get the same
+    number of splits: what one holds beyond a shard would be a shard with a share so small that every phrase reaches it.
+    """
+    octets, splits = totals.agg(F.sum("total"), F.max("split") + 1).first()
+    if not octets:
+        return splits or 1
+    at_once = totals.sparkSession.sparkContext.defaultParallelism
+    together = max(1, min(splits * shard_words * WORD_BYTES // octets, splits // at_once))
+    return -(-splits // together)
+
+
 def phrase_counts(
     docs: DataFrame,
     lang: str = "lang",
@@ -229,9 +270,11 @@ def phrase_counts(
     named = docs.select(
         F.coalesce(lang, F.lit(UNKNOWN)).alias("lang"), F.coalesce(text, F.lit("")).alias("text")
     )
-    totals = named.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("total"))
-    # written, so that the planner sends it to the texts only if it is small
-    known = named.join(stage(totals, "octets"), "lang").select("lang", "text", "total")
+    split = named.withColumn("split", F.spark_partition_id())
+    totals = split.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("total"), F.max("split").alias("split"))
+    totals = stage(totals, "octets")  # written, so that the planner sends it to the texts only if it is small
+    known = named.join(totals, "lang").select("lang", "text", "total")
+    known = known.coalesce(_tasks(totals, shard_words))
 
     mined = known.mapInArrow(_mine(count, longest, shard_words, slot_bits), SCHEMA)
     mined = mined.groupBy("lang", "phrase").agg(

@@ -120,3 +120,35 @@ def test_phrases_grow_from_accepted_parts():
         for place, many in zip(places.tolist(), counts.tolist())
     }
     assert found == {(1, (1,)): 4, (1, (2,)): 3, (2, (1, 2)): 2, (2, (2, 1)): 3, (3, (1, 2, 1)): 2}
+
+
+def test_shards_do_not_follow_the_splits_of_the_input(spark, monkeypatch):
+    """A table in many small splits is mined in as few shards as keep every core at work."""
+    rows = [("en", f"pair of words {i % 7} and x{i}") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(60)
+    seen = []
+    written = co.stage
+    monkeypatch.setattr(co, "stage", lambda df, name: seen.append((name, written(df, name))) or seen[-1][1])
+    result = rows_of(co.collocations(docs, count=100))
+    assert result == brute(rows, 100)
+    mined = dict(seen)["mined"]
+    # what unreported phrases may have: a share less one from each shard, and no shard's share is small
+    assert mined.filter("phrase IS NULL").first().excess >= 100 - 2 * spark.sparkContext.defaultParallelism
+    assert mined.filter("phrase LIKE 'x%'").count() == 0
+
+
+def test_places_in_chunks(monkeypatch):
+    """The same phrases whether their places are told apart at once or in parts."""
+    draw = np.random.default_rng(3)
+    words = np.minimum(draw.geometric(0.2, 5000), 30).astype(np.int32) * (draw.random(5000) > 0.1)
+
+    def found():
+        return sorted(
+            (length, tuple(words[place : place + length].tolist()), place, many)
+            for length, places, counts in co.grow(words.astype(np.int32), 5, lambda *x: x[2] >= 3)
+            for place, many in zip(places.tolist(), counts.tolist())
+        )
+
+    whole = found()
+    monkeypatch.setattr(co, "CHUNK", 64)
+    assert found() == whole and len({row[0] for row in whole}) == 5

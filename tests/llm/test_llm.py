@@ -162,6 +162,44 @@ def test_near_copies_against_all_pairs(spark, hard, nothing):
     assert near_copies.one_of_each(nothing).count() == 0
 
 
+@pytest.mark.parametrize("with_base", [True, False])
+def test_copies_of_one_text_edited_in_many_places(spark, monkeypatch, with_base):
+    """Texts of one family that are too far from each other are not held against each other in pairs."""
+    draw = random.Random(21)
+    base = [f"b{i}" for i in range(200)]
+
+    def edited(words, changes, name):
+        copy = list(words)
+        for at in draw.sample(range(len(copy)), changes):
+            copy[at] = f"{name}x{at}"
+        return copy
+
+    copies = [edited(base, draw.randrange(2, 16), f"c{i}") for i in range(160)]
+    copies += [edited(copies[i], 2, f"d{i}") for i in range(0, 160, 40)]
+    copies += [base[: 200 - k] for k in (30, 60, 90, 95)]
+    texts = [" ".join(words) for words in ([base] * with_base + copies)]
+    sets = [{tuple(text.split()[i : i + 5]) for i in range(len(text.split()) - 4)} for text in texts]
+    root, linked = list(range(len(texts))), 0
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+            linked += 1
+            low, high = sorted((root[i], root[j]))
+            root = [low if r == high else r for r in root]
+    assert linked > 50 and len(set(root)) > 60
+    held, verified = [], near_copies._verified
+
+    def counted(pairs, *more):
+        held.append(pairs.count())
+        return verified(pairs, *more)
+
+    monkeypatch.setattr(near_copies, "_verified", counted)
+    monkeypatch.setattr(near_copies, "SAMPLE", 8)  # as in a large table: the sample holds few texts of a family
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = near_copies.near_copies(table).collect()
+    assert {r.doc_id: r.component_id for r in found} == dict(enumerate(root)) and len(found) == len(texts)
+    assert sum(held) < 10 * len(texts), held
+
+
 def test_pipeline_drops_copies_with_one_word_replaced(spark):
     import corpus_pipeline
 

@@ -18,6 +18,8 @@ BROADCAST_LIMIT = 32 * 1024 * 1024
 # Session setting: deal the rows of every table a query reads to so many tasks.
 # For tables in few unsplittable files; unset, tables are only read.
 INPUT_TASKS = "spark.scrubwell.inputTasks"
+# Setting of Spark: shuffle files go when the query that made them has ended.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # Paths staged inside the innermost ``scratch``.
 _collected: ContextVar[list[str] | None] = ContextVar("collected", default=None)
 
@@ -65,11 +67,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return the written table.
 
     Cuts the lineage where more than one branch reads the same rows, survives
-    the loss of executors, and gives later joins a measured table size.
+    the loss of executors, and gives later joins a measured table size.  Once it is written
+    nobody reads the shuffles it was made by; Spark would keep them until the driver
+    collects its garbage, and jobs of many stages would hold them all at once.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with _setting(spark, SHUFFLES_GO, "true"):
+        df.write.parquet(path)
     if (inside := _collected.get()) is not None:
         inside.append(path)
     table = spark.read.schema(df.schema).parquet(path)
@@ -77,6 +82,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def release(*tables: DataFrame) -> None:
     """Delete staged tables once their last reader has been written.
 

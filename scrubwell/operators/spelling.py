@@ -12,6 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +27,7 @@ from scrubwell.session import stage
 # word and far fewer words that share one by chance, whose number grows with the square of the words.
 PREFIX = 12
 MAX_DISTANCE = 2
+KEY_BITS = 26  # of the table of the terms' keys: 8 MB, whatever the vocabulary
 
 
 def guarded_pieces(text: Column) -> Column:
@@ -70,9 +72,13 @@ def unknown_words(
     return words.join(vocabulary, words.word == vocabulary.term, "left_anti")
 
 
-def deletion_keys(word: Column, limit: int = MAX_DISTANCE) -> Column:
+def deletion_keys(
+    word: Column, limit: int = MAX_DISTANCE, held: Broadcast | None = None
+) -> Column:
     """Hashes of the first letters of a word with up to ``limit`` of them left out.
 
+    With ``held``, a table of :func:`key_table`, only those whose bit is set.
+
     Two words within ``limit`` steps of each other share at least one key, so
     the join on keys misses no pair.  An Arrow function: array expressions take
     twenty times as long to build the keys.
@@ -88,19 +94,39 @@ def deletion_keys(word: Column, limit: int = MAX_DISTANCE) -> Column:
                 newest = {key[:at] + key[at + 1 :] for key in newest for at in range(len(key))}
                 found = found | newest
             digests = (xxhash.xxh64_intdigest(key) for key in found)
-            return np.fromiter(digests, np.uint64, len(found)).view(np.int64)
+            hashes = np.fromiter(digests, np.uint64, len(found))
+            if table is not None:
+                slots = hashes >> np.uint64(64 - KEY_BITS)
+                hashes = hashes[table[slots >> 3] >> (slots & 7).astype(np.uint8) & 1 == 1]
+            return hashes.view(np.int64)
 
+        table = None if held is None else np.frombuffer(held.value, np.uint8)
         return pa.array([keys(value.as_py()) for value in words], pa.list_(pa.int64()))
 
     return hashed(word)
 
 
+def key_table(keys: DataFrame) -> bytes:
+    """A bit for the first ``KEY_BITS`` of every key: of one size, whatever the number of keys."""
+    slot = F.shiftrightunsigned("key", 64 - KEY_BITS)
+    numbers = (
+        keys.select(slot.alias("slot"))
+        .groupBy(F.shiftright("slot", 6).alias("place"))
+        .agg(F.expr("bit_or(shiftleft(1L, int(slot % 64)))").alias("bits"))
+    )
+    found = numbers.toArrow()  # a million rows at most
+    table = np.zeros(1 << KEY_BITS - 6, "<i8")
+    table[found["place"].to_numpy()] = found["bits"].to_numpy()
+    return table.tobytes()
+
+
 @dataclass(frozen=True)
 class Vocabulary:
-    """A vocabulary ready for many lookups: its terms and their deletion keys, as written tables."""
+    """A vocabulary ready for many lookups: its terms, their deletion keys, and which keys there are."""
 
     terms: DataFrame
     keys: dict[int, DataFrame]
+    held: dict[int, Broadcast]
 
 
 def prepare_vocabulary(vocabulary: DataFrame | Vocabulary) -> Vocabulary:
@@ -123,7 +149,8 @@ def prepare_vocabulary(vocabulary: DataFrame | Vocabulary) -> Vocabulary:
         )
         for limit in range(1, MAX_DISTANCE + 1)
     }
-    return Vocabulary(terms, keys)
+    send = terms.sparkSession.sparkContext.broadcast
+    return Vocabulary(terms, keys, {limit: send(key_table(table)) for limit, table in keys.items()})
 
 
 def _nearest(unknown: DataFrame, vocabulary: Vocabulary, limit: int) -> DataFrame:
@@ -131,15 +158,18 @@ def _nearest(unknown: DataFrame, vocabulary: Vocabulary, limit: int) -> DataFram
 
     Comparing words is the costly part, so the words are dealt to a fixed
     number of tasks by hash instead of letting small partitions be merged.
+    Keys that no term has stay out of the shuffle.  The join is a merge: the planner takes the
+    words for as small as the file they come from, and would send all their keys through the driver.
     """
     tasks = int(unknown.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     terms = vocabulary.keys[limit]
     words = unknown.repartition(tasks, "word").select(
         "word",
-        F.explode(deletion_keys(F.col("word"), limit)).alias("key"),
+        F.explode(deletion_keys(F.col("word"), limit, vocabulary.held[limit])).alias("key"),
     )
     pairs = (
-        words.join(terms, "key")
+        words.hint("merge")
+        .join(terms, "key")
         .filter(F.abs(F.length("word") - F.length("term")) <= limit)
         .withColumn("distance", alignment_distance(F.col("word"), F.col("term"), limit))
         .filter(F.col("distance").isNotNull())

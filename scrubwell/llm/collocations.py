@@ -8,6 +8,9 @@ Shares add up to ``count``, so a phrase that misses its share in every shard mis
 the locally frequent phrases of all shards together lack no frequent one.  A phrase that
 a shard did not report has fewer occurrences there than its share, so the reports also
 bound each phrase's total from above; phrases whose bound is too low are no candidates.
+Of more than FEW shards each has a small share and reports many phrases.  They name them by
+hashes then, sorted and packed by ranges of hashes: about three bytes a phrase.  Phrases that
+share a hash share their bound, which is then only higher.
 
 The second pass counts all candidates in all shards.  Tasks know candidates by a table
 of ``1 << slot_bits`` bits, of one size whatever the corpus: a phrase whose bit is unset is no
@@ -36,6 +39,10 @@ SHARD_WORDS = 12 << 20  # a task closes a shard when it holds so many words
 WORD_BYTES = 5  # of text for each of them, by which tasks are filled
 CHUNK = 1 << 19  # places whose phrases are told apart at once
 SLOT_BITS = 26  # 8 MB of bits
+FEW = 8  # shards that report phrases as they are
+KEY_BITS = 32  # of a hash, beside the range it is in
+RANGES = 8  # of hashes for each shard, so that a range holds as much whatever the corpus
+HELD = 1 << 21  # hashes a task holds before it passes them on
 UNKNOWN = "und"
 BREAK = b"\xff"  # stands for a break between pieces: no byte of UTF-8
 # A-Z in lower case, tabs as spaces, the characters between pieces as breaks
@@ -158,7 +165,7 @@ def spell(words: np.ndarray, names: list[bytes], places: np.ndarray, length: int
 def slots(
     lang: str, words: np.ndarray, hashes: np.ndarray, places: np.ndarray, length: int, bits: int
 ) -> np.ndarray:
-    """The slot of each phrase in a table of ``1 << bits`` candidates."""
+    """The slot of each phrase in a table of ``1 << bits`` candidates: the first bits of its hash."""
     value = np.full(len(places), xxhash.xxh64_intdigest(lang.encode(), length), np.uint64)
     for i in range(length):
         value = (value ^ hashes[words[places + i]]) * GOLDEN
@@ -189,6 +196,81 @@ def _mine(count: int, longest: int, shard_words: int, slot_bits: int):
     return mine
 
 
+def _pack(count: int, longest: int, shard_words: int, range_bits: int):
+    """Hashes and counts of the locally frequent phrases of a task's shards, by language and range of hashes.
+
+    ``rest`` is what a phrase may have in the shard that was not reported.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard in shards(batches, shard_words):
+            for lang, words, names in shard.languages():
+                octets, total = shard.octets[lang], shard.totals[lang]
+                least = max(1, -(-count * octets // total)) if total else 1
+                hashes = _hashes(names)
+                held, size = [], 0
+                for length, places, counts in grow(words, longest, lambda *x: x[2] >= least):
+                    mark = slots(lang, words, hashes, places, length, range_bits + KEY_BITS)
+                    held.append((mark, counts - (least - 1)))
+                    size += len(mark)
+                    if size >= HELD:
+                        yield _packed(lang, held, range_bits, 0)
+                        held, size = [], 0
+                yield _packed(lang, held, range_bits, least - 1)
+
+    return pack
+
+
+def _packed(lang: str, held: list, range_bits: int, rest: int) -> pa.RecordBatch:
+    """A row for each range: its hashes in order, as steps from one to the next, and their counts.
+
+    With a ``rest`` ranges without a hash have a row too.
+    """
+    marks = np.concatenate([mark for mark, _ in held] or [np.empty(0, np.int64)])
+    counts = np.concatenate([many for _, many in held] or [np.empty(0, np.int64)])
+    order = np.argsort(marks)
+    marks, counts = marks[order], counts[order].astype(np.uint32)
+    ends = np.searchsorted(marks, np.arange((1 << range_bits) + 1) << KEY_BITS)
+    rows = []
+    for part, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
+        if b > a or rest:
+            steps = np.diff(marks[a:b], prepend=part << KEY_BITS).astype(np.uint32)
+            rows.append((lang, part, _planes(steps), _planes(counts[a:b]), rest))
+    columns = zip(*rows) if rows else ((),) * 5
+    kinds = (pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], PACKED)
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """32-bit numbers as all their lowest bytes, then the next ones: high bytes, mostly alike, stand together."""
+    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _unplaned(octets: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(octets, np.uint8).reshape(4, -1).T).reshape(-1).view("<u4")
+
+
+def _candidates(count: int, range_bits: int, slot_bits: int):
+    """The slots of a range of hashes whose reported counts, with all that was not reported, reach ``count``."""
+
+    def candidates(group: pa.Table) -> pa.Table:
+        parts = []
+        for steps, counts in zip(group["steps"], group["counts"]):
+            keys = np.cumsum(_unplaned(steps.as_py()), dtype=np.uint64)
+            parts.append(keys << np.uint64(32) | _unplaned(counts.as_py()))
+        both = np.concatenate(parts)
+        del parts
+        both.sort()
+        keys = (both >> np.uint64(32)).astype(np.int64)
+        starts = np.flatnonzero(np.diff(keys, prepend=-1))
+        sums = np.add.reduceat((both & np.uint64(0xFFFFFFFF)).astype(np.int64), starts) if len(starts) else starts
+        bound = sums + sum(group["rest"].to_pylist())
+        good = keys[starts][bound >= count] | group["part"][0].as_py() << KEY_BITS
+        return pa.table({"slot": np.unique(good >> (range_bits + KEY_BITS - slot_bits))})
+
+    return candidates
+
+
 def _count(bits, longest: int, shard_words: int, slot_bits: int):
     """Occurrences of the candidates in a task's shards; without a phrase, all words."""
 
@@ -228,6 +310,8 @@ def _rows(lang: str, phrases, slot, counts) -> pa.RecordBatch:
 
 
 SCHEMA = "lang string, phrase string, slot bigint, many bigint"
+PACKED = ["lang", "part", "steps", "counts", "rest"]
+PACKED_SCHEMA = "lang string, part int, steps binary, counts binary, rest bigint"
 
 
 def _table(candidates: DataFrame, slot_bits: int) -> bytes:
@@ -256,6 +340,33 @@ def _tasks(totals: DataFrame, shard_words: int) -> int:
     return -(-splits // together)
 
 
+def _shards(totals: DataFrame, shard_words: int) -> int:
+    octets = totals.agg(F.sum("total")).first()[0] or 0
+    return octets // (shard_words * WORD_BYTES) + 1
+
+
+def _reported(known: DataFrame, count: int, longest: int, shard_words: int, slot_bits: int) -> DataFrame:
+    """``slot`` of the candidates, from the phrases that the shards report."""
+    mined = known.mapInArrow(_mine(count, longest, shard_words, slot_bits), SCHEMA)
+    mined = mined.groupBy("lang", "phrase").agg(
+        F.first("slot").alias("slot"), F.sum("many").alias("excess")
+    )
+    mined = stage(mined, "mined")
+    missed = mined.filter("phrase IS NULL").select("lang", F.col("excess").alias("missed"))
+    named = mined.filter("phrase IS NOT NULL")
+    return named.join(missed, "lang").filter(F.expr(f"excess + missed >= {count}"))
+
+
+def _reported_packed(
+    known: DataFrame, many: int, count: int, longest: int, shard_words: int, slot_bits: int
+) -> DataFrame:
+    """``slot`` of the candidates, from hashes of the phrases that so many shards report."""
+    range_bits = (RANGES * many - 1).bit_length()
+    packed = known.mapInArrow(_pack(count, longest, shard_words, range_bits), PACKED_SCHEMA)
+    found = packed.groupBy("lang", "part").applyInArrow(_candidates(count, range_bits, slot_bits), "slot bigint")
+    return stage(found, "candidates")
+
+
 def phrase_counts(
     docs: DataFrame,
     lang: str = "lang",
@@ -276,15 +387,8 @@ def phrase_counts(
     known = named.join(totals, "lang").select("lang", "text", "total")
     known = known.coalesce(_tasks(totals, shard_words))
 
-    mined = known.mapInArrow(_mine(count, longest, shard_words, slot_bits), SCHEMA)
-    mined = mined.groupBy("lang", "phrase").agg(
-        F.first("slot").alias("slot"), F.sum("many").alias("excess")
-    )
-    mined = stage(mined, "mined")
-    missed = mined.filter("phrase IS NULL").select("lang", F.col("excess").alias("missed"))
-    candidates = (
-        mined.filter("phrase IS NOT NULL").join(missed, "lang").filter(F.expr(f"excess + missed >= {count}"))
-    )
+    asked, many = (count, longest, shard_words, slot_bits), _shards(totals, shard_words)
+    candidates = _reported(known, *asked) if many <= FEW else _reported_packed(known, many, *asked)
     bits = docs.sparkSession.sparkContext.broadcast(_table(candidates, slot_bits))
 
     counted = known.mapInArrow(_count(bits, longest, shard_words, slot_bits), SCHEMA)
@@ -358,8 +462,8 @@ def collocations(
     Rows without a language count as ``und``, null texts as empty; rows need no key, repeated rows count
     as often as they stand; other columns are ignored; an empty table gives an empty one.
     Texts are never shuffled.  Where shards are so many that their share of ``count`` is
-    below two, the first pass reports every phrase it meets and its sums are already exact;
-    a corpus that large wants a higher ``count`` or larger shards, results are the same.
+    below two, the first pass reports every phrase it meets, as a hash of about three bytes for each
+    and shard: its disk then follows the words of the corpus, not the shards times the frequent phrases.
     """
     counts, words = phrase_counts(docs, lang, text, count, longest, shard_words, slot_bits)
     scored = _scored(counts, words)
